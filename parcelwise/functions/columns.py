@@ -19,28 +19,8 @@ NULL_WORDS_DECIMAL = ["", "NULL", "NAN", "N/A"]
 TRUE_WORDS = ["T", "TRUE", "Y", "YES", "1"]
 FALSE_WORDS = ["F", "FALSE", "N", "NO", "0"]
 
-# --- fixed values: accepted date layouts, first match wins. Each entry is
-# (field order, separator, year digits, with time, with fraction).
-DATE_LAYOUTS = [
-    ("ymd", "-", 4, True, True),
-    ("ymd", "-", 2, True, False),
-    ("ymd", "-", 2, False, False),
-    ("ymd", "/", 2, True, False),
-    ("ymd", "/", 2, False, False),
-    ("dmy", "/", 2, True, False),
-    ("dmy", "/", 2, False, False),
-    ("dmy", "-", 2, True, False),
-    ("dmy", "-", 2, False, False),
-    ("ymd", "-", 4, True, False),
-    ("ymd", "-", 4, False, False),
-    ("ymd", "/", 4, True, False),
-    ("ymd", "/", 4, False, False),
-    ("dmy", "/", 4, True, False),
-    ("dmy", "/", 4, False, False),
-    ("dmy", "-", 4, True, False),
-    ("dmy", "-", 4, False, False),
-]
-DAYS_IN_MONTH = [31, 28, 31, 30, 31, 30, 31, 31, 30, 31, 30, 31]
+# Any accepted date: three number fields with one separator, then perhaps a time.
+DATE_SHAPE = r"^(\d{1,4})([-/])(\d{1,2})\2(\d{1,4})(?:\s+(\d{1,2}):(\d{1,2}):(\d{1,2})(\.\d{1,6})?)?$"
 
 
 def clean_string(c: Column) -> Column:
@@ -69,48 +49,31 @@ def to_decimal(c: Column, scale: int = 3) -> Column:
 
 
 def normalize_datetime(c: Column) -> Column:
-    """Timestamp (no zone) from text in any of ``DATE_LAYOUTS``; else NULL.
+    """Timestamp (no zone) from loosely written text; else NULL.
 
-    Two-digit years 69..99 belong to 19xx. Months, days and time parts may have
-    one or two digits. Fractions of a second are dropped.
+    Fields are year-month-day or day-month-year, with ``-`` or ``/`` and an
+    optional time. A four-digit year decides the order; with two-digit years the
+    year-first reading wins when it is a real date. Two-digit years 69..99 belong
+    to 19xx. A fraction of a second is only read after ``yyyy-m-d`` and dropped.
     """
-    t = F.trim(c)
-    candidates = [_parse_layout(t, *layout) for layout in DATE_LAYOUTS]
-    return F.coalesce(*candidates)
-
-
-def _parse_layout(t: Column, order: str, sep: str, year_digits: int, with_time: bool, with_fraction: bool) -> Column:
-    year = r"(\d{4})" if year_digits == 4 else r"(\d{2})"
-    fields = [year if f == "y" else r"(\d{1,2})" for f in order]
-    pattern = sep.join(fields)
-    if with_time:
-        pattern += r"\s+(\d{1,2}):(\d{1,2}):(\d{1,2})"
-    if with_fraction:
-        pattern += r"\.\d{1,6}"
-    pattern = f"^{pattern}$"
-
-    def part(i: int) -> Column:
-        return F.regexp_extract(t, pattern, i).try_cast("int")
-
-    year_c = part(order.index("y") + 1)
-    if year_digits == 2:
-        year_c = F.when(year_c >= 69, year_c + 1900).otherwise(year_c + 2000)
-    month, day = part(order.index("m") + 1), part(order.index("d") + 1)
-    hour, minute, second = (part(4), part(5), part(6)) if with_time else (F.lit(0), F.lit(0), F.lit(0))
-    month_days = F.element_at(F.array(*[F.lit(d) for d in DAYS_IN_MONTH]), F.when(month.between(1, 12), month).otherwise(1))
-    leap = ((year_c % 4 == 0) & (year_c % 100 != 0)) | (year_c % 400 == 0)
-    last = F.when((month == 2) & leap, 29).otherwise(month_days)
-    valid = (
-        t.rlike(pattern)
-        & (year_c >= 1)
-        & month.between(1, 12)
-        & day.between(1, last)
-        & hour.between(0, 23)
-        & minute.between(0, 59)
-        & second.between(0, 59)
+    t = _strip(c)
+    a, sep, b, z, hour, minute, second, fraction = (F.regexp_extract(t, DATE_SHAPE, i) for i in range(1, 9))
+
+    def stamp(year: Column, month: Column, day: Column) -> Column:
+        time = [F.coalesce(x.try_cast("int"), F.lit(0)) for x in (hour, minute, second)]
+        day = F.when(F.length(day) <= 2, day.try_cast("int"))
+        return F.try_make_timestamp_ntz(year, month.try_cast("int"), day, time[0], time[1], time[2])
+
+    def century(year: Column) -> Column:
+        y = F.when(F.length(year) == 2, year.try_cast("int"))
+        return F.when(y >= 69, y + 1900).otherwise(y + 2000)
+
+    full_year_first = F.when((fraction == "") | (sep == "-"), stamp(a.try_cast("int"), b, z))
+    plain = F.when(F.length(z) == 4, stamp(z.try_cast("int"), b, a)).otherwise(
+        F.coalesce(stamp(century(a), b, z), stamp(century(z), b, a))
     )
-    text = F.format_string("%04d-%02d-%02d %02d:%02d:%02d", year_c, month, day, hour, minute, second)
-    return F.when(valid, text).cast("timestamp_ntz")
+    parsed = F.when(F.length(a) == 4, full_year_first).when(fraction == "", plain)
+    return F.when((F.length(a) > 0) & (~hour.isin("24") & ~second.isin("60")), parsed)
 
 
 def report_month(c: Column) -> Column:

@@ -15,6 +15,8 @@ RUNTIME_CONF = {
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
     # Sketches per (feature, month) fit in memory well past the default 128.
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
+    # Wide aggregates: methods too long for the JIT fall back to split projections.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.session.timeZone": "UTC",
 }
 
