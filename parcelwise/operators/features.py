@@ -504,7 +504,7 @@ def lifetime_asof_all(customer_month: DataFrame, specs: DataFrame, start: str) -
     the output, not months x ends.
     """
     ends = specs.select("end_idx", "end_date").distinct()
-    last_idx = ends.agg(F.max("end_idx").alias("_last_idx"))
+    last_idx = ends.agg(F.max("end_idx")).scalar()
     per_month = (
         _since(customer_month, start)
         .groupBy(CUSTOMER, C.month_index(F.col("report_month")).alias("month_idx"))
@@ -521,7 +521,8 @@ def lifetime_asof_all(customer_month: DataFrame, specs: DataFrame, start: str) -
     )
     valid_to = F.least(F.coalesce(F.col("_next") - 1, F.col("_last_idx")), F.col("_last_idx"))
     spread = (
-        running.join(F.broadcast(last_idx), F.col("month_idx") <= F.col("_last_idx"))
+        running.withColumn("_last_idx", last_idx)
+        .filter(F.col("month_idx") <= F.col("_last_idx"))
         .withColumn("end_idx", F.explode(F.sequence("month_idx", valid_to)))
         .join(F.broadcast(ends), "end_idx")
     )

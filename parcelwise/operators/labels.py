@@ -205,9 +205,8 @@ def split_confirmed(ids: DataFrame, frac: float, seed: int) -> DataFrame:
 
 def pu_weight(confirmed: DataFrame, working: DataFrame, *, minimum: float = 0.01, fallback: float = 0.05) -> DataFrame:
     """Weight of unlabelled rows: confirmed over the other active customers."""
-    n_confirmed = confirmed.agg(F.count_distinct(CUSTOMER).alias("n_confirmed"))
-    n_active = working.agg(F.count(F.when(F.col("tier") == "active", 1)).alias("n_active"))
-    both = n_confirmed.join(F.broadcast(n_active), F.lit(True))  # two one-row frames
+    n_active = working.agg(F.count(F.when(F.col("tier") == "active", 1)))
+    both = confirmed.agg(F.count_distinct(CUSTOMER).alias("n_confirmed")).withColumn("n_active", n_active.scalar())
     ratio = F.col("n_confirmed") / F.greatest(F.col("n_active") - F.col("n_confirmed"), F.lit(1))
     weight = F.when(F.col("n_confirmed") > 0, F.greatest(ratio, F.lit(minimum))).otherwise(F.lit(fallback))
     return both.withColumn("pu_weight", weight)
@@ -299,13 +298,10 @@ def sample_eval(df: DataFrame, frac: float = 0.20, seed: int = 42, *, id_col: st
     if frac <= 0:
         return df.limit(0)
     classes = df.groupBy("y_label").agg(F.count(F.lit(1)).alias("_n"))
-    usable = classes.agg(((F.count(F.lit(1)) > 1) & (F.min("_n") >= 2)).alias("_ok"))
-    # A one-row frame decides the strata without a driver round trip.
-    marked = df.join(F.broadcast(usable), F.lit(True)).withColumn(
-        "_stratum", F.when(F.col("_ok"), F.col("y_label").cast("string")).otherwise("all")
-    )
+    usable = classes.agg((F.count(F.lit(1)) > 1) & (F.min("_n") >= 2)).scalar()
+    marked = df.withColumn("_stratum", F.when(usable, F.col("y_label").cast("string")).otherwise("all"))
     picked = hash_sample(marked, id_col, lambda n: eval_size(n, frac), frac, seed, ["_stratum"])
-    return picked.drop("_stratum", "_ok")
+    return picked.drop("_stratum")
 
 
 @dataclass
@@ -430,9 +426,9 @@ def sanity_report(ds: Dataset, holdout_ids: DataFrame) -> DataFrame:
     v = F.col("v")
     count_if = lambda c: F.count(F.when(c, 1)).alias("v")
     constant = lambda x: spark.range(1).select(F.lit(float(x)).alias("v"))
-    misplaced = held.agg(F.count(F.when(F.col("_hold") & (F.col("t") == 1), 1)).alias("v1")).join(
-        missing.agg(F.count(F.lit(1)).alias("v2")), F.lit(True)
-    ).select((F.col("v1") + F.col("v2")).alias("v"))
+    n_missing = missing.agg(F.count(F.lit(1))).scalar()
+    in_train = F.count(F.when(F.col("_hold") & (F.col("t") == 1), 1))
+    misplaced = held.agg(in_train.alias("v1")).select((F.col("v1") + n_missing).alias("v"))
     checks = [
         row(1, "split_overlap", per_id.agg(count_if((F.col("t") == 1) & (F.col("e") == 1))), v == 0, True),
         row(2, "train_positive_share", ds.train.agg(F.avg((F.col("y") > 0.5).cast("double")).alias("v")), v.between(0.03, 0.35), False),

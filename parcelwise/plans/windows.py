@@ -76,12 +76,8 @@ def valid_training_ends(months: DataFrame, window_size: int, horizon: int) -> Da
 
     ``months`` holds one row per month in order (``month_no`` from 1).
     """
-    last = months.agg(F.max("month_no").alias("last_no"))
-    return (
-        months.join(F.broadcast(last), F.col("month_no") <= F.col("last_no") - (horizon + 1))
-        .filter(F.col("month_no") >= window_size)
-        .select("month_no", "month")
-    )
+    last = months.agg(F.max("month_no")).scalar()
+    return months.filter(F.col("month_no").between(F.lit(window_size), last - (horizon + 1))).select("month_no", "month")
 
 
 def refresh_plan(existing: DataFrame, specs: DataFrame, last_n: int) -> DataFrame:
