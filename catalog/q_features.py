@@ -283,7 +283,7 @@ life_ship AS (
 
 def _life_sql() -> str:
     sig = "coalesce(i.contract_sig_first, a.first_month)"
-    three = lambda e, n: f"{r(e, 3)} AS {n}"
+    three = lambda e, n: f"{r(f'round({e}, 9)', 3)} AS {n}"
     cols = lifetime_cols()
     inner = ", ".join(f"{e} AS {n}" for n, e in {**cols, "lifetime_months_active": "count(report_month)"}.items())
     outs = [three(f"a.{n}", n) if n not in _LIFE_INT else f"a.{n}" for n in cols]

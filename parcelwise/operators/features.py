@@ -460,7 +460,8 @@ def customer_lifetime(
     joined = activity.join(latest_info(info), CUSTOMER, "left").join(lifetime_shipments(shipments, start, end), CUSTOMER, "left")
     services = [F.col(s) for s in SERVICE_COLUMNS]
     signed = F.coalesce(F.to_date("contract_sig_first"), F.to_date(F.trunc("first_month", "MM")))
-    ratio = lambda c: F.col(c).cast("decimal(18,3)").alias(c)
+    # Nine digits first: sums of doubles differ in the last bits with the task order.
+    ratio = lambda c: F.round(c, 9).cast("decimal(18,3)").alias(c)
     return joined.select(
         CUSTOMER,
         C.is_corporate(F.col(CUSTOMER)).alias("is_corporate"),
@@ -474,7 +475,7 @@ def customer_lifetime(
         ratio("lifetime_avg_revenue_per_item"), ratio("lifetime_avg_weight_per_item"),
         "lifetime_months_active", F.coalesce("lifetime_days_active", F.lit(0)).alias("lifetime_days_active"),
         *[ratio(f"lifetime_pct_{r}") for r in ("delay", "refund", "noaccepted", "lost_order", "complaint")],
-        F.coalesce("lifetime_pct_complaint_per_item", F.lit(0.0)).cast("decimal(18,3)").alias("lifetime_pct_complaint_per_item"),
+        F.round(F.coalesce("lifetime_pct_complaint_per_item", F.lit(0.0)), 9).cast("decimal(18,3)").alias("lifetime_pct_complaint_per_item"),
         ratio("lifetime_pct_successful_item"), ratio("lifetime_avg_delayday"),
         ratio("lifetime_avg_order_score"), ratio("lifetime_avg_satisfaction"),
         C.count_positive(services).alias("lifetime_service_types_count"),
