@@ -40,6 +40,7 @@ class Inputs:
 
     def __init__(self, spark: SparkSession, sf_dir: str, keep: bool = True):
         self.spark, self.sf_dir, self.keep = tune(spark), sf_dir, keep
+        self.memo: dict[str, object] = {}
 
     def _kept(self, df: DataFrame) -> DataFrame:
         return df.persist() if self.keep else df

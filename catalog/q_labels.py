@@ -16,6 +16,18 @@ from parcelwise.schemas import CUSTOMER
 SCALED = ["item_sum", "item_avg", "pct_delay", "recency", "frequency", "max_consecutive_inactive"]
 
 
+def remember(fn):
+    """Compute a shared small frame once per data directory."""
+
+    def run(i: Inputs):
+        if fn.__name__ not in i.memo:
+            i.memo[fn.__name__] = fn(i)
+        return i.memo[fn.__name__]
+
+    return run
+
+
+@remember
 def active_labelled(i: Inputs):
     """Active customers with smoothed signals, a made similarity, labels and weights."""
     rows = X.ewma(i.current, W, ALPHA, ["item"])
@@ -24,12 +36,13 @@ def active_labelled(i: Inputs):
     scored = active.withColumn("sim_score", ((key * 31) % 100) / 100.0)
     train, hold = confirmed_split(i)
     labelled = L.pseudo_labels(scored, train, hold)
-    return L.weights_and_smoothing(labelled, 0.05)
+    return L.weights_and_smoothing(labelled, 0.05).persist()
 
 
+@remember
 def confirmed_split(i: Inputs):
     known = L.restrict_to_ids(i.confirmed, i.working)
-    split = L.split_confirmed(known, 0.2, SEED)
+    split = L.split_confirmed(known, 0.2, SEED).persist()
     return split.filter(~F.col("is_holdout")), split.filter("is_holdout")
 
 
@@ -133,8 +146,9 @@ def q_sample_eval(i: Inputs):
     return L.sample_eval(i.current.withColumn("y_label", F.col("y_raw").cast("double")), 0.2, SEED).select(CUSTOMER, "y_raw")
 
 
+@remember
 def _split(i: Inputs):
-    return L.split_active(active_labelled(i), confirmed_split(i)[1], 0.2, SEED)
+    return L.split_active(active_labelled(i), confirmed_split(i)[1], 0.2, SEED).persist()
 
 
 def q_dataset_split(i: Inputs):
@@ -167,13 +181,6 @@ def q_sanity_report(i: Inputs):
     return tidy(L.sanity_report(ds, confirmed_split(i)[1]))
 
 
-def q_reject_leaky_features(i: Inputs):
-    """Which columns of the labelled rows may not be model features."""
-    names = active_labelled(i).columns
-    bad = L.leaky_features(names, ["horizon"])
-    return i.spark.range(1).select(F.explode(F.array(*[F.lit(n) for n in bad])).alias("column_name"))
-
-
 QUERIES = {
     "working_set": q_working_set,
     "working_set_asof": q_working_set_asof,
@@ -203,7 +210,6 @@ QUERIES = {
     "fit_scaler": q_fit_scaler,
     "apply_scaler": q_apply_scaler,
     "sanity_report": q_sanity_report,
-    "reject_leaky_features": q_reject_leaky_features,
 }
 
 # --------------------------------------------------------------------------

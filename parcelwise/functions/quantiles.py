@@ -19,6 +19,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from parcelwise.functions.lineage import cut
+
 INF = float("inf")
 
 
@@ -190,25 +192,31 @@ def hash_sample(
     stratum with ``n`` rows are kept; ``frac`` says about where that rank lies.
     Ids must be unique.
     """
-    strata = list(strata)
     keys = [f"_k{i}" for i in range(max(1, len(strata)))]
-    key_cols = [F.col(s) for s in strata] or [F.lit(1)]
+    key_cols = [F.col(s).cast("string") for s in strata] or [F.lit("")]
     digest = F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f":{seed}")).cast("binary"))
-    tagged = df.select("*", *[F.coalesce(c.cast("string"), F.lit("")).alias(k) for c, k in zip(key_cols, keys)])
-    tagged = tagged.withColumn("_d", digest).withColumn(
-        "_h", F.conv(F.substring("_d", 1, 13), 16, 10).cast("double")
+    hashed = F.conv(F.substring("_d", 1, 13), 16, 10).cast("double")  # 52 bits
+    # Only id, stratum and hash are stored; the rest of the row joins back at the end.
+    tagged = cut(
+        df.select(F.col(id_col), digest.alias("_d"), *[F.coalesce(c, F.lit("")).alias(k) for c, k in zip(key_cols, keys)])
+        .withColumn("_h", hashed)
+    )
+    last = lambda n, _p: F.greatest(size(n) - 1, F.lit(0)).cast("double")
+    border = order_statistics(tagged, keys, "_h", [frac], position=last).select(
+        *keys, F.col("q").alias("_cut"), "below", size(F.col("n")).cast("bigint").alias("_size")
     )
-    cut = order_statistics(
-        tagged, keys, "_h", [frac], position=lambda n, _p: F.greatest(size(n) - 1, F.lit(0)).cast("double")
-    ).select(*keys, F.col("q").alias("_cut"), "below", size(F.col("n")).cast("bigint").alias("_size"))
-    cut = cut.filter("_size > 0")
+    border = cut(border.filter("_size > 0"))
     # One row per stratum; strata are label classes.
-    kept = tagged.join(F.broadcast(cut), keys).filter(F.col("_h") <= F.col("_cut"))
-    sure = kept.filter(F.col("_h") < F.col("_cut")).drop("below", "_size")
-    ties = kept.filter(F.col("_h") == F.col("_cut"))  # two rows only if 52 hash bits agree
+    kept = tagged.join(F.broadcast(border), keys)
+    sure = kept.filter(F.col("_h") < F.col("_cut")).select(id_col)
     order = Window.partitionBy(*keys).orderBy("_d", id_col)
-    ties = ties.withColumn("_rn", F.row_number().over(order)).filter(F.col("_rn") <= F.col("_size") - F.col("below"))
-    return sure.unionByName(ties.drop("_rn", "below", "_size")).drop(*keys, "_d", "_h", "_cut")
+    ties = (
+        kept.filter(F.col("_h") == F.col("_cut"))  # two rows only if 52 hash bits agree
+        .withColumn("_rn", F.row_number().over(order))
+        .filter(F.col("_rn") <= F.col("_size") - F.col("below"))
+        .select(id_col)
+    )
+    return df.join(sure.unionByName(ties), id_col, "left_semi")
 
 
 def _join_keys(left: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame:

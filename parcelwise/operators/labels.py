@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelwise.functions import columns as C
+from parcelwise.functions.lineage import cut
 from parcelwise.functions.quantiles import hash_sample
 from parcelwise.operators.features import ewma, latest_info
 from parcelwise.schemas import CUSTOMER, LEAKY_NAME_PARTS, MODEL_FEATURES
@@ -199,6 +200,7 @@ def split_confirmed(ids: DataFrame, frac: float, seed: int) -> DataFrame:
     unique = ids.select(CUSTOMER).distinct()
     if frac <= 0:
         return unique.withColumn("is_holdout", F.lit(False))
+    unique = cut(unique)
     held = hash_sample(unique, CUSTOMER, lambda n: holdout_size(n, frac), frac, seed).withColumn("_h", F.lit(True))
     return unique.join(held, CUSTOMER, "left").select(CUSTOMER, F.coalesce("_h", F.lit(False)).alias("is_holdout"))
 
@@ -353,7 +355,8 @@ class Dataset:
 def split_active(active: DataFrame, holdout_ids: DataFrame, frac: float = 0.20, seed: int = 42) -> DataFrame:
     """Active rows with ``_dataset_split``: confirmed holdout and sampled rows are eval."""
     flagged = _flag_ids(active, holdout_ids, "_hold")
-    sampled = sample_eval(flagged.filter(~F.col("_hold")), frac, seed).select(CUSTOMER)
+    pool = flagged.filter(~F.col("_hold")).select(CUSTOMER, "y_label")
+    sampled = sample_eval(pool, frac, seed).select(CUSTOMER)
     flagged = _flag_ids(flagged, sampled, "_sampled")
     split = F.when(F.col("_hold") | F.col("_sampled"), "eval").otherwise("train")
     return flagged.withColumn("_dataset_split", split).drop("_hold", "_sampled")
@@ -387,8 +390,8 @@ def final_dataset(
     """Split, project, merge history and scale. The scaler sees training rows only."""
     features = [f for f in (feature_names or MODEL_FEATURES) if f in active.columns]
     reject_leaky_features(features)
-    split = split_active(active, holdout_ids, frac, seed).persist()
-    train = training_rows(split, history, features).persist()
+    split = cut(split_active(active, holdout_ids, frac, seed))
+    train = cut(training_rows(split, history, features))
     scaler = fit_scaler(train, features)
     keep_eval = [F.col(CUSTOMER), F.col("y_label").alias("y")]
     evaluation = feature_projection(split.filter(F.col("_dataset_split") == "eval"), features, keep_eval)
