@@ -196,8 +196,7 @@ def correlation_matrix(df: DataFrame, features: Sequence[str], method: str = "pe
     if method == "spearman":
         return _spearman(df, names)
     numeric = df.select(*[C.finite_double(F.col(f)).alias(f) for f in names])
-    sums = _centre(numeric, names).mapInPandas(_gram_partials(len(names)), "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double")
-    totals = sums.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
+    totals = gram_sums(_centre(numeric, names), names)
     labels = F.array(*[F.lit(f) for f in names])
     return totals.select(
         F.get(labels, F.col("i")).alias("feature_a"),
@@ -206,6 +205,14 @@ def correlation_matrix(df: DataFrame, features: Sequence[str], method: str = "pe
     )
 
 
+def gram_sums(df: DataFrame, names: list[str]) -> DataFrame:
+    """Pairwise sums ``i, j, n, sx, sy, sxx, syy, sxy`` over the rows where both columns are known."""
+    parts = df.select(*names).mapInPandas(
+        _gram_partials(len(names)), "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double"
+    )
+    return parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
+
+
 def _centre(numeric: DataFrame, names: list[str]) -> DataFrame:
     """Subtract the column means, which come from one scalar subquery."""
     means = numeric.agg(F.array(*[F.coalesce(F.avg(f), F.lit(0.0)) for f in names]).alias("m")).scalar()
