@@ -88,6 +88,8 @@ def order_statistics(
     under = F.when(F.col("_in").isNull(), F.col("_region") <= F.col("prob_id")).otherwise(F.col("_in") < F.col("_b._lo"))
     ladder = (
         ranked.filter(in_b | under)
+        # Rows are already one per value, so one shuffle serves the sum and the window.
+        .repartition(*keys, "prob_id")
         .groupBy(*keys, "prob_id", "_n", F.when(in_b, F.col("_in")).alias("_v"))
         .agg(F.sum("_c").alias("_c"))
         .withColumn(
