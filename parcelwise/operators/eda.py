@@ -141,7 +141,11 @@ def outlier_stats(df: DataFrame, features: Sequence[str], iqr_factor: float = 1.
     """Values beyond the quartile fences and beyond ``z_threshold`` deviations."""
     long = finite_long(df, features)
     quartiles = exact_quantiles(long, ["feature"], "value", [0.25, 0.75])
-    spread = long.groupBy("feature").agg(F.avg("value").alias("_mean"), F.stddev_samp("value").alias("_std"))
+    # A constant column is told by its range: merged deviations can be off zero by rounding.
+    varied = F.max("value") > F.min("value")
+    spread = long.groupBy("feature").agg(
+        F.avg("value").alias("_mean"), F.when(varied, F.stddev_samp("value")).otherwise(0.0).alias("_std")
+    )
     q1, q3 = F.get("quantiles", F.lit(0)), F.get("quantiles", F.lit(1))
     fences = quartiles.join(spread, "feature").select(
         "feature",
@@ -168,7 +172,7 @@ def outlier_stats(df: DataFrame, features: Sequence[str], iqr_factor: float = 1.
         )
     )
     joined = feature_names(df, features).join(counted, "feature", "left")
-    usable = F.coalesce(F.col("_std") != 0, F.col("n") == 1, F.lit(False))
+    usable = F.coalesce((F.col("_std") != 0) | (F.col("n") == 1), F.lit(False))
     count = lambda c: F.when(usable, F.col(c)).otherwise(0).cast("bigint")
     pct = lambda c: F.when(usable, F.bround(F.col(c) / F.col("n"), 6)).otherwise(0.0)
     return joined.select(

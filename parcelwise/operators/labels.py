@@ -318,7 +318,11 @@ class Scaler:
 def scaler_stats(train: DataFrame, features: Sequence[str]) -> DataFrame:
     """Mean and population scale per feature; a constant feature has scale 1."""
     wide = train.agg(
-        *[F.struct(F.avg(f).alias("mean"), F.stddev_pop(f).alias("std")).alias(f) for f in features]
+        *[
+            # Constant by range: merged deviations can be off zero by rounding.
+            F.struct(F.avg(f).alias("mean"), F.when(F.max(f) > F.min(f), F.stddev_pop(f)).otherwise(0.0).alias("std")).alias(f)
+            for f in features
+        ]
     )
     rows = wide.select(F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).alias("s")) for f in features])).alias("r"))
     std = F.col("r.s.std")

@@ -9,7 +9,6 @@ from collections.abc import Iterator, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from parcelwise.functions import columns as C
 from parcelwise.schemas import CUSTOMER, HEADERS, TYPED_KINDS, landing_schema
@@ -115,16 +114,18 @@ def sniff_delimiter(lines: DataFrame, head: int = 1000) -> DataFrame:
 
 def check_csv_rows(spark: SparkSession, path: str, base: str, *, sep: str = ",", has_header: bool = True) -> tuple[DataFrame, DataFrame]:
     """Good rows and ragged rows of a file. A header that differs from the canonical one fails."""
-    schema = T.StructType([*landing_schema(base).fields, T.StructField("_bad", T.StringType())])
+    header = HEADERS[base]
+    lines = spark.read.text(path)
     if has_header:
-        first = spark.read.option("wholetext", False).text(path).first()
-        names = [] if first is None else [c.strip('"') for c in first[0].lstrip("﻿").split(sep)]
-        if names != HEADERS[base]:
-            raise ValueError(f"Header mismatch: got {names} vs {HEADERS[base]}")
-    rows = spark.read.csv(
-        path, schema=schema, sep=sep, header=has_header, quote='"', mode="PERMISSIVE", columnNameOfCorruptRecord="_bad", enforceSchema=True
-    )
-    return rows.filter("_bad is null").drop("_bad"), rows.filter("_bad is not null").select(F.col("_bad").alias("line"))
+        first = lines.first()
+        names = [] if first is None else [c.strip('"') for c in first[0].lstrip("\ufeff").split(sep)]
+        if names != header:
+            raise ValueError(f"Header mismatch: got {names} vs {header}")
+        lines = lines.filter(F.ltrim(F.col("value"), F.lit("\ufeff")) != first[0].lstrip("\ufeff"))
+    ddl = ", ".join(f"`{c}` string" for c in [*header, "_bad"])
+    options = {"sep": sep, "quote": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
+    rows = lines.filter(F.col("value") != "").select("value", F.from_csv("value", ddl, options).alias("r"))
+    return rows.filter("r._bad is null").select(*[f"r.{c}" for c in header]), rows.filter("r._bad is not null").select(F.col("value").alias("line"))
 
 
 def guard_csv_injection(df: DataFrame, columns: Sequence[str], mode: str = "sanitize") -> DataFrame:
