@@ -42,7 +42,8 @@ def order_statistics(
     Returns ``keys, prob_id, n, q, below`` where ``below`` counts the values
     strictly smaller than the lower neighbour. Keys must not be NULL.
     """
-    probs = [float(p) for p in probs]
+    asked_order = sorted(range(len(probs)), key=lambda k: float(probs[k]))
+    probs = [float(probs[k]) for k in asked_order]  # brackets must ascend
     width = len(probs)
     keys = list(keys)
     data = long.select(*keys, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
@@ -120,7 +121,8 @@ def order_statistics(
     q = F.when(miss, F.raise_error(F.lit("quantile bracket missed its rank")).cast("double")).otherwise(
         F.col("_q0") + (F.col("_q1") - F.col("_q0")) * frac
     )
-    return found.select(*keys, "prob_id", "n", q.alias("q"), "below")
+    original = F.get(F.array(*[F.lit(k) for k in asked_order]), F.col("prob_id"))
+    return found.select(*keys, original.alias("prob_id"), "n", q.alias("q"), "below")
 
 
 def exact_quantiles(long: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float]) -> DataFrame:
