@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelwise.functions import columns as C
+from parcelwise.functions.lineage import cut
 from parcelwise.functions.quantiles import average_ranks, exact_quantiles
 from parcelwise.functions.tdist import t_p_value
 
@@ -262,9 +263,10 @@ def _spearman(df: DataFrame, names: list[str]) -> DataFrame:
     Columns without NULLs share one ranking; a pair with a NULL column is ranked
     by itself. Ranks come from value counts, so equal values share one row.
     """
-    numeric = df.select(*[C.finite_double(F.col(f)).alias(f) for f in names]).withColumn(
-        "_id", F.monotonically_increasing_id()
-    ).persist()
+    # Stored once: the row numbers must not change when a task is repeated.
+    numeric = cut(
+        df.select(*[C.finite_double(F.col(f)).alias(f) for f in names]).withColumn("_id", F.monotonically_increasing_id())
+    )
     filled = numeric.agg(*[F.count(f).alias(f) for f in names], F.count(F.lit(1)).alias("_all")).first()
     whole = [f for f in names if filled[f] == filled["_all"]]
     ranked = _rank_columns(numeric, whole)

@@ -65,9 +65,11 @@ def rollup_sink(spark: SparkSession, store: str, out: str) -> Callable[[DataFram
     def handle(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         keyed = batch.withColumn("yymm", C.month_key(F.col("sending_time"))).withColumn("batch", F.lit(batch_id))
+        keyed.persist()  # read twice; a stateful stream must run once per batch
         writer = lambda df: df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer(keyed).partitionBy("yymm", "batch").parquet(store)
         months = [r[0] for r in keyed.select("yymm").distinct().collect()]  # one per touched month
+        keyed.unpersist()
         if not months:
             return
         stored = session.read.option("partitionColumnTypeInference.enabled", "false").parquet(store)
@@ -86,6 +88,7 @@ def stream_monthly_rollup(stream: DataFrame, store: str, out: str, checkpoint: s
 def late_policy_sink(store: str, quarantine: str, completed: Callable[[], DataFrame]) -> Callable[[DataFrame, int], None]:
     """Batch handler that stores accepted rows and puts the rest aside."""
     def handle(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()  # read several times; a stateful stream must run once per batch
         good, late = split_late(batch, completed())
         for df, path in ((good, store), (late, quarantine)):
             (
@@ -95,5 +98,6 @@ def late_policy_sink(store: str, quarantine: str, completed: Callable[[], DataFr
                 .partitionBy("batch")
                 .parquet(path)
             )
+        batch.unpersist()
 
     return handle
