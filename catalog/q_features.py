@@ -16,6 +16,9 @@ from parcelwise.schemas import PIVOT_METRICS, SERVICE_COLUMNS, WINDOW_KEYS
 KEYS = "cms_code_enc, window_size::BIGINT AS window_size, window_start, window_end"
 KEYS3 = "cms_code_enc, window_size::BIGINT AS window_size, window_end"
 
+# Means of half points often end in an exact half at the sixth digit, so they keep two more.
+FINE = {"lifetime_avg_order_score": 8, "lifetime_avg_satisfaction": 8}
+
 MONTHLY_INTS = (
     "item_count total_fee total_complaint delay_count delay_day nodone refunded noaccepted lost_order "
     "intra_province international"
@@ -110,7 +113,7 @@ def q_ewma_order_parity(i: Inputs):
 
 
 def q_lifetime_activity(i: Inputs):
-    return tidy(X.lifetime_activity(i.customer_month, FLOOR))
+    return tidy(X.lifetime_activity(i.customer_month, FLOOR), **FINE)
 
 
 def q_lifetime_shipments(i: Inputs):
@@ -126,11 +129,11 @@ def q_latest_per_key(i: Inputs):
 
 
 def q_lifetime_asof(i: Inputs):
-    return tidy(X.lifetime_asof(i.customer_month, FLOOR, LAST))
+    return tidy(X.lifetime_asof(i.customer_month, FLOOR, LAST), **FINE)
 
 
 def q_lifetime_asof_all(i: Inputs):
-    return tidy(X.lifetime_asof_all(i.customer_month, i.specs, FLOOR))
+    return tidy(X.lifetime_asof_all(i.customer_month, i.specs, FLOOR), **FINE)
 
 
 def q_month_plan(i: Inputs):
@@ -262,7 +265,7 @@ def lifetime_cols(weight: str = "sum(weight_kg)") -> dict[str, str]:
 
 
 _LIFE_INT = {"lifetime_total_items", "lifetime_total_revenue", "lifetime_total_complaint", "lifetime_months_active"}
-_LIFE_OUT = ", ".join(f"{e if n in _LIFE_INT else r(e)} AS {n}" for n, e in lifetime_cols().items())
+_LIFE_OUT = ", ".join(f"{e if n in _LIFE_INT else r(e, FINE.get(n, 6))} AS {n}" for n, e in lifetime_cols().items())
 _SER = ", ".join(f"sum(coalesce(ser_{s}, 0))::BIGINT AS ser_{s}" for s in SERVICES)
 def _mode(src: str) -> str:
     return f"(SELECT cms_code_enc, {src} AS v FROM s2 GROUP BY 1, 2 QUALIFY row_number() OVER (PARTITION BY cms_code_enc ORDER BY count(*) DESC, {src}) = 1)"

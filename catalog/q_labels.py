@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from catalog import sql as S
 from catalog.inputs import ALPHA, END_MONTH, HISTORY, HORIZON, SEED, T_OBS, W, Inputs, tidy
-from catalog.q_features import _LIFE_OUT, _ewma_sql
+from catalog.q_features import _LIFE_OUT, FINE, _ewma_sql
 from catalog.sql import r, with_ctes
 from parcelwise.operators import features as X
 from parcelwise.operators import labels as L
@@ -48,7 +48,7 @@ def confirmed_split(i: Inputs):
 
 def q_working_set(i: Inputs):
     life = X.lifetime_activity(i.customer_month, HISTORY)
-    return tidy(L.working_set(life, 40))
+    return tidy(L.working_set(life, 40), **FINE)
 
 
 def q_working_set_asof(i: Inputs):
