@@ -8,12 +8,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder the cluster names; a temporary one only where none is set."""
+    """Use the shared folder the cluster names in ``spark.checkpoint.dir``.
+
+    A local session without one gets a folder of its machine; a cluster without one is an
+    error, since executors do not see each other's folders.
+    """
     context = spark.sparkContext
     if context.getCheckpointDir() is not None:
         return
     named = context.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
-    context.setCheckpointDir(named or tempfile.mkdtemp(prefix="parcelwise-checkpoint-"))
+    if named is None:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        named = tempfile.mkdtemp(prefix="parcelwise-checkpoint-")
+    context.setCheckpointDir(named)
 
 
 def cut(df: DataFrame) -> DataFrame:
