@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelwise.llm import quality, simhash
+from parcelwise.llm import pii, quality, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_pii_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_report(table(spark, sf_dir, "documents"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality.quality_rules(table(spark, sf_dir, "documents"), quality.trusted(table(spark, sf_dir, "labels")))
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -26,6 +30,7 @@ def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_pii_disclosure": op2_pii_disclosure,
     "op5_quality_rules": op5_quality_rules,
     "op9_simhash_dedup": op9_simhash_dedup,
 }
