@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelwise.llm import pii, quality, simhash
+from parcelwise.llm import pii, quality, secrets, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("_row")["doc_id"].alias("doc_id"), *counts, "base_failed", "kept", "score")
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_report(table(spark, sf_dir, "documents"))
+
+
 def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.simhash_components(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -32,6 +36,7 @@ def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pii_disclosure": op2_pii_disclosure,
     "op5_quality_rules": op5_quality_rules,
+    "op8_secret_scan": op8_secret_scan,
     "op9_simhash_dedup": op9_simhash_dedup,
 }
 
