@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelwise.llm import pii, quality, secrets, simhash
+from parcelwise.llm import embeddings, pii, quality, secrets, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.embedding_links(table(spark, sf_dir, "embeddings"))
+
+
 def op2_pii_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_report(table(spark, sf_dir, "documents"))
 
@@ -34,6 +38,7 @@ def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_embedding_dedup": op1_embedding_dedup,
     "op2_pii_disclosure": op2_pii_disclosure,
     "op5_quality_rules": op5_quality_rules,
     "op8_secret_scan": op8_secret_scan,
