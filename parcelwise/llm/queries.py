@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelwise.llm import embeddings, pii, quality, secrets, simhash
+from parcelwise.llm import bpe, embeddings, pii, quality, secrets, simhash, urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,12 +23,21 @@ def op2_pii_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_report(table(spark, sf_dir, "documents"))
 
 
+def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge_urls(table(spark, sf_dir, "pages"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality.quality_rules(table(spark, sf_dir, "documents"), quality.trusted(table(spark, sf_dir, "labels")))
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     return found.select(F.col("_row")["doc_id"].alias("doc_id"), *counts, "base_failed", "kept", "score")
 
 
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return bpe.token_report(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(table(spark, sf_dir, "documents"))
 
@@ -40,7 +50,9 @@ def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_pii_disclosure": op2_pii_disclosure,
+    "op3_url_filters": op3_url_filters,
     "op5_quality_rules": op5_quality_rules,
+    "op6_byte_bpe": op6_byte_bpe,
     "op8_secret_scan": op8_secret_scan,
     "op9_simhash_dedup": op9_simhash_dedup,
 }
