@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelwise.llm import bpe, embeddings, licenses, pii, quality, secrets, simhash, urls
+from parcelwise.llm import bpe, embeddings, licenses, pii, quality, secrets, simhash, urls, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,6 +51,11 @@ def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op10_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.archive_pages(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_pii_disclosure": op2_pii_disclosure,
@@ -60,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_license_scan": op7_license_scan,
     "op8_secret_scan": op8_secret_scan,
     "op9_simhash_dedup": op9_simhash_dedup,
+    "op10_warc_archives": op10_warc_archives,
 }
 
 ORACLE: dict[str, str] = {}
