@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelwise.llm import bpe, embeddings, licenses, pii, quality, secrets, simhash, urls, warc
+from parcelwise.llm import bpe, embeddings, licenses, packing, pii, quality, secrets, simhash, urls, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,10 @@ def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(table(spark, sf_dir, "pages"))
 
 
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), packing.words())
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality.quality_rules(table(spark, sf_dir, "documents"), quality.trusted(table(spark, sf_dir, "labels")))
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -60,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_pii_disclosure": op2_pii_disclosure,
     "op3_url_filters": op3_url_filters,
+    "op4_best_fit_packing": op4_best_fit_packing,
     "op5_quality_rules": op5_quality_rules,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_license_scan": op7_license_scan,
