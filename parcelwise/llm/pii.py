@@ -91,7 +91,11 @@ def disclosing_terms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     near = store(contexts(rows, id_col), "contexts")
     pairs = near.select("id", "entity", "context", F.explode_outer("terms").alias("term")).where("term is not null")
     pair = pairs.groupBy("entity", "term").agg(F.count_distinct("context").alias("support"), F.count_distinct("id").alias("n_pair"))
-    pair = store(pair.where(F.col("support") >= min_support), "pairs")
+    # A term occurs in at least as many documents as have it near any entity; where these alone
+    # leave more than GENERALISE_BITS open, the corpus count cannot make the term strong.
+    seen = pairs.groupBy("term").agg(F.count_distinct("id").alias("seen"))
+    likely = (F.col("support") >= min_support) & (F.col("n_pair") * 2.0**GENERALISE_BITS >= F.col("seen"))
+    pair = store(pair.join(seen, "term").where(likely).select("entity", "term", "n_pair"), "pairs")
     wanted = store(pair.select("term").distinct(), "terms")
     words = docs.select(F.array_distinct(F.transform(split_words(F.coalesce(F.col(text_col).cast("string"), F.lit(""))), _term)).alias("w"))
     spread = words.select(F.explode_outer("w").alias("term")).where("term is not null")
