@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelwise.llm import bpe, embeddings, licenses, packing, pii, quality, secrets, simhash, urls, warc
+from parcelwise.llm.oracles import ORACLE  # noqa: F401 (a part of the registry)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,5 +73,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_simhash_dedup": op9_simhash_dedup,
     "op10_warc_archives": op10_warc_archives,
 }
-
-ORACLE: dict[str, str] = {}
