@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,7 @@ def sequence_cost(capacity: int) -> float:
 def best_fit(lengths: np.ndarray, opened: Callable[[int], int], top: int) -> tuple[np.ndarray, np.ndarray]:
     """Bin and offset of every piece, taken in the given order.
 
-    A piece goes to the open bin whose room it fills best (the earliest of equal ones);
+    A piece goes to the open bin whose room it fills best (the one opened first of equal ones);
     otherwise ``opened(length)`` tells the size of its new bin. ``room`` is a bit set of the
     free sizes that some bin has, so each step is one shift and one lowest-bit test.
     """
@@ -37,7 +38,7 @@ def best_fit(lengths: np.ndarray, opened: Callable[[int], int], top: int) -> tup
         fit = room >> n
         if fit:
             free = n + (fit & -fit).bit_length() - 1
-            b = bins[free].pop(0)
+            b = heappop(bins[free])
             if not bins[free]:
                 room &= ~(1 << free)
         else:
@@ -48,7 +49,7 @@ def best_fit(lengths: np.ndarray, opened: Callable[[int], int], top: int) -> tup
         used[b] += n
         left = size[b] - used[b]
         if left:
-            bins[left].append(b)
+            heappush(bins[left], b)
             room |= 1 << left
     return at, offset
 

@@ -12,7 +12,7 @@ from parcelwise.llm.common import empty, split_words, store
 #: Buckets of the hashed unigrams and bigrams.
 BUCKETS = 1 << 16
 #: A document is kept if its mean log ratio per n-gram is at least this.
-THRESHOLD = -0.25
+THRESHOLD = -0.3
 #: Up to so many target ids are broadcast; more are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
 

@@ -24,6 +24,9 @@ HEX_DIGITS = "0123456789abcdef"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 BASE64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
 ENCODINGS = {"hex": HEX_DIGITS, "base32": BASE32, "base64": BASE64}
+#: Shares of lower case, capitals, digits and the rest in ordinary tokens, where the corpus has few; they weigh as PRIOR_SYMBOLS symbols.
+PRIOR = {"a-z": 0.90, "A-Z": 0.05, "0-9": 0.04, "+/": 0.01}
+PRIOR_SYMBOLS = 64
 #: A test of the battery rejects randomness below this probability, shared among its three tests.
 ALPHA = 0.003
 #: Share of ordinary tokens that may be among the findings of a length band.
@@ -87,12 +90,17 @@ def battery(tokens: DataFrame) -> DataFrame:
 
 
 def _log_shares(tokens: DataFrame) -> list[float]:
-    """Log share of each of the 64 symbols in ordinary tokens (plain words), smoothed by one."""
+    """Log share of each of the 64 symbols in ordinary tokens (plain words), smoothed by the prior."""
     plain = tokens.where("encoding is null").select(F.translate(F.rtrim(F.col("value"), F.lit("=")), "-_", "+/").alias("v"))
     symbols = plain.select(F.explode_outer(F.split("v", "")).alias("c")).where("c <> ''").groupBy("c").count()
     found = {r["c"]: r["count"] for r in symbols.collect()}  # at most 64 rows
-    total = sum(found.values()) + len(BASE64)
-    return [math.log((found.get(c, 0) + 1) / total) for c in BASE64]
+
+    def prior(c: str) -> float:
+        kind, size = ("a-z", 26) if c.islower() else ("A-Z", 26) if c.isupper() else ("0-9", 10) if c.isdigit() else ("+/", 2)
+        return PRIOR[kind] / size * PRIOR_SYMBOLS
+
+    total = sum(found.values()) + PRIOR_SYMBOLS
+    return [math.log((found.get(c, 0) + prior(c)) / total) for c in BASE64]
 
 
 def judge_tokens(values: DataFrame) -> DataFrame:
