@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from catalog.inputs import Inputs, tidy
 from catalog.sql import r, with_ctes
+from parcelwise.functions.lineage import scratch_path
 from parcelwise.schemas import HEADERS
 from parcelwise.sources import landing as L
+from parcelwise.sources import tables as T
 
 col = F.col
 
@@ -102,6 +104,26 @@ def q_sniff_delimiter(i: Inputs):
     return L.sniff_delimiter(lines).withColumn("delimiter", F.replace("delimiter", F.lit("\t"), F.lit("TAB")))
 
 
+def q_check_csv_rows(i: Inputs):
+    """All orders in files with a header each; every seventh has a cell too many."""
+    head = HEADERS["cas_info"]
+    cells = {0: col("o_orderkey").cast("string"), len(head) - 1: F.when(col("o_orderkey") % 7 == 0, "a,b").otherwise("a")}
+    path = scratch_path(i.spark, "rows")
+    i.table("orders").repartition(4).select(*[cells.get(n, F.lit("x")).alias(h) for n, h in enumerate(head)]).write.csv(path, header=True, quote="")
+    good, ragged = L.check_csv_rows(i.spark, path, "cas_info")
+    key = F.split("line", ",")[0].cast("bigint").alias("o_orderkey")
+    rows = good.select(col(head[0]).cast("bigint").alias("o_orderkey"), F.lit("good").alias("kind"))
+    return rows.unionByName(ragged.select(key, F.lit("ragged").alias("kind")))
+
+
+def q_scan_months_stored(i: Inputs):
+    """Months around 2000 from a stored table, whose reader takes 0001 for a number."""
+    path = scratch_path(i.spark, "months")
+    T.write_month_partitions(i.table("orders").select("o_orderkey", "o_orderdate"), path, "o_orderdate")
+    rows = T.scan_months(i.spark.read.parquet(path), "1999-11-15", "2000-02-10")
+    return tidy(rows.select("o_orderkey", "o_orderdate", col("yymm").cast("bigint").alias("yymm")))
+
+
 def q_guard_csv_injection(i: Inputs):
     k = col("o_orderkey")
     cell = F.concat(F.when(k % 5 == 0, "=").when(k % 5 == 1, "@").when(k % 5 == 2, "+").when(k % 5 == 3, "-").otherwise(""), "o_orderpriority")
@@ -126,6 +148,8 @@ QUERIES = {
     "changed_archives": q_changed_archives,
     "order_csv_parts": q_order_csv_parts,
     "sniff_delimiter": q_sniff_delimiter,
+    "check_csv_rows": q_check_csv_rows,
+    "scan_months_stored": q_scan_months_stored,
     "guard_csv_injection": q_guard_csv_injection,
     "load_confirmed": q_load_confirmed,
 }
@@ -140,6 +164,9 @@ log AS (SELECT * FROM (SELECT name AS zip_name, h AS finished_at, CASE WHEN h %
   FROM (SELECT *, ascii(substr(md5(name), 1, 1)) AS h FROM files)) WHERE finished_at % 5 <> 0)"""
 
 ORACLE = {
+    "check_csv_rows": "SELECT o_orderkey::BIGINT AS o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN 'ragged' ELSE 'good' END AS kind FROM orders",
+    "scan_months_stored": """SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d 00:00:00') AS o_orderdate, (year(o_orderdate) % 100 * 100 + month(o_orderdate))::BIGINT AS yymm
+FROM orders WHERE o_orderdate >= '1999-11-01' AND o_orderdate < '2000-03-01'""",
     "typed_shipments": with_ctes(
         f"""SELECT NULL::VARCHAR AS crm_code_enc, cms_code_enc, item_code, service_code, region, {r('weight_kg')} AS weight_kg, total_fee::BIGINT AS total_fee, is_domestic::BIGINT AS is_domestic,
   done::BIGINT AS done, delay_day::BIGINT AS delay_day, {r('order_score')} AS order_score, strftime(sending_time, '%Y-%m-%d %H:%M:%S') AS sending_time, NULL::VARCHAR AS ending_time, NULL::BIGINT AS length_size, NULL::BIGINT AS complaint114 FROM shipments""", "shipments"),

@@ -29,7 +29,7 @@ def dataset(i: Inputs):
 
 @remember
 def fitted(i: Inputs):
-    return M.train_churn_model(dataset(i), M.ModelConfig(n_estimators=5, max_depth=3, learning_rate=0.3))
+    return M.train_churn_model(dataset(i), maxIter=5, maxDepth=3, stepSize=0.3)
 
 
 def q_prototype_moments(i: Inputs):

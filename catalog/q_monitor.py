@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from catalog.inputs import EDA_FEATURES, TOP_FEATURES, Inputs, tidy
@@ -11,6 +12,7 @@ from catalog.sql import r, with_ctes
 from parcelwise.functions import columns as C
 from parcelwise.operators import drift as D
 from parcelwise.operators import evaluate as V
+from parcelwise.operators import prototype as PR
 from parcelwise.operators import reports as R
 from parcelwise.sources import tables as TB
 from parcelwise.sources.upsert import insert_if_absent, latest_rows, merge_by_key
@@ -138,7 +140,7 @@ def q_accept_reject(i: Inputs):
 
     prev = F.lag("metric_f05").over(Window.partitionBy("horizon").orderBy("as_of_month"))
     rows = h.withColumn("prev_f05", prev).select("as_of_month", F.col("metric_f05").alias("new_f05"), "prev_f05")
-    return tidy(V.accept_reject(rows).drop("accept_rule"))
+    return tidy(V.accept_reject(rows))
 
 
 def q_update_metrics(i: Inputs):
@@ -150,11 +152,17 @@ def q_update_metrics(i: Inputs):
 
 
 def q_prototype_cache(i: Inputs):
-    """Newest stored run per horizon, and none when it is older than three months."""
-    h = config_history(i).filter("is_accepted")
-    newest = h.groupBy("horizon").agg(F.max("as_of_month").alias("run_month"))
-    age = C.yymm_diff(F.lit(112), F.col("run_month"))
-    return tidy(newest.withColumn("age_months", age).withColumn("usable", age <= 3))
+    """What the cache of all runs since 2000 offers at two months, after one more run was saved."""
+    runs = config_history(i).filter("is_accepted and as_of_month < 9000")
+    columns = {
+        "mu": F.array("metric_f05"), "sigma_inv": F.array(F.array("metric_f05")), "sigma2": F.col("metric_f05"), "features": F.array(F.lit("x")),
+        "n_confirmed": F.lit(1), "run_month": F.col("as_of_month").cast("int"), "horizon": F.col("horizon").cast("int"),
+    }
+    cache = runs.select(*[c.alias(n) for n, c in columns.items()])
+    fresh = PR.Prototype(np.array([9.0]), np.array([[9.0]]), 9.0, ["x"], 1)
+    cache = PR.save_prototype(i.spark, cache, fresh, 109, 1)
+    found = [(h, at, PR.load_latest_prototype(cache, h, at)) for h in (1, 2) for at in (112, 206)]
+    return i.spark.createDataFrame([(h, at, p.sigma2 if p else None) for h, at, p in found], "horizon bigint, at_month bigint, sigma2 double").withColumn("sigma2", F.round("sigma2", 6))
 
 
 def q_month_status(i: Inputs):
@@ -300,8 +308,9 @@ SELECT 107 AS window_end, 2 AS horizon, 3 AS best_k, n AS active_cnt, 0 AS churn
     "config_history": with_ctes(f", {RUNS} SELECT as_of_month, horizon, best_k, {r('metric_f05')} AS metric_f05, is_accepted FROM conf WHERE horizon = 1 AND is_accepted ORDER BY as_of_month DESC LIMIT 1 OFFSET 1", "cm"),
     "update_metrics": with_ctes(f", {RUNS} SELECT as_of_month, horizon, best_k, CASE WHEN as_of_month % 5 = 0 THEN 0.5 ELSE {r('metric_f05')} END AS metric_f05, is_accepted FROM conf", "cm"),
     "prototype_cache": with_ctes(
-        f""", {RUNS}, n AS (SELECT horizon, max(as_of_month) AS run_month FROM conf WHERE is_accepted GROUP BY horizon)
-SELECT horizon, run_month, 12 + 12 - ((run_month // 100) * 12 + run_month % 100) AS age_months, 12 + 12 - ((run_month // 100) * 12 + run_month % 100) <= 3 AS usable FROM n""", "cm"),
+        f""", {RUNS}, c AS (SELECT as_of_month AS run_month, horizon, metric_f05 AS s FROM conf WHERE is_accepted AND as_of_month < 9000 AND NOT (as_of_month = 109 AND horizon = 1) UNION ALL SELECT 109, 1, 9.0),
+n AS (SELECT horizon, max(run_month) AS run_month, arg_max(s, run_month) AS s FROM c GROUP BY horizon)
+SELECT horizon, at_month, CASE WHEN (at_month // 100 - run_month // 100) * 12 + at_month % 100 - run_month % 100 <= 3 THEN {r('s')} END AS sigma2 FROM n CROSS JOIN (SELECT unnest([112, 206])::BIGINT AS at_month)""", "cm"),
     "merge_by_key": """WITH a AS (SELECT o_custkey, count(*) AS n, max(o_orderkey) AS k FROM orders WHERE o_orderdate < '1997-01-01' GROUP BY 1),
 b AS (SELECT o_custkey, count(*) AS n, max(o_orderkey) AS k FROM orders WHERE o_orderdate >= '2001-01-01' GROUP BY 1)
 SELECT coalesce(a.o_custkey, b.o_custkey) AS o_custkey, coalesce(b.n, a.n) AS n, coalesce(a.k, b.k) AS last_key FROM a FULL JOIN b ON a.o_custkey = b.o_custkey""",
@@ -318,11 +327,12 @@ UNION ALL SELECT 'cas_info', 'HAS DATA', count(*) FROM info UNION ALL SELECT 'bc
     "guardrail": with_ctes(
         f""", keep AS (SELECT * REPLACE (CASE WHEN substr(cms_code_enc, 9, 1) = '3' THEN label ELSE 0 END AS label) FROM scored), {CURVE.replace('FROM scored', 'FROM keep')}
 SELECT {r(_F(0.25), 5)} AS f05, {r('ap', 5)} AS pr_auc, {_F(0.25)} >= 0.5 AND ap >= 0.05 AS passed,
-  CASE WHEN {_F(0.25)} >= 0.5 AND ap >= 0.05 THEN printf('Guardrail passed: F0.5=%.4f >= 0.5, PR-AUC=%.4f >= 0.05', {_F(0.25)}, ap)
-  ELSE 'GUARDRAIL FAILED: ' || concat_ws('; ', CASE WHEN {_F(0.25)} < 0.5 THEN printf('F0.5=%.4f < min=0.5', {_F(0.25)}) END, CASE WHEN ap < 0.05 THEN printf('PR-AUC=%.4f < min=0.05', ap) END) END AS reason FROM met""", "scored"),
+  CASE WHEN {_F(0.25)} >= 0.5 AND ap >= 0.05 THEN printf('F0.5 %.4f reaches 0.5, PR-AUC %.4f reaches 0.05', {_F(0.25)}, ap)
+  ELSE concat_ws(', ', CASE WHEN {_F(0.25)} < 0.5 THEN printf('F0.5 %.4f is below 0.5', {_F(0.25)}) END, CASE WHEN ap < 0.05 THEN printf('PR-AUC %.4f is below 0.05', ap) END) END AS reason FROM met""", "scored"),
     "accept_reject": with_ctes(
         f""", {RUNS}, l AS (SELECT as_of_month, metric_f05 AS new_f05, lag(metric_f05) OVER (ORDER BY as_of_month) AS prev_f05 FROM conf WHERE horizon = 1)
-SELECT as_of_month, {r('new_f05')} AS new_f05, {r('prev_f05')} AS prev_f05, prev_f05 IS NULL OR new_f05 > prev_f05 + 1e-6 AS accepted FROM l""", "cm"),
+SELECT as_of_month, {r('new_f05')} AS new_f05, {r('prev_f05')} AS prev_f05, prev_f05 IS NULL OR new_f05 > prev_f05 + 1e-6 AS accepted,
+  CASE WHEN prev_f05 IS NULL THEN 'accepted_no_previous' ELSE CASE WHEN new_f05 > prev_f05 + 1e-6 THEN 'accepted_f05_improved' ELSE 'rejected_f05_not_improved' END || printf(' (%.4f to %.4f)', prev_f05, new_f05) END AS accept_rule FROM l""", "cm"),
     "reasons": with_ctes("SELECT cms_code_enc, reason_1, reason_2, reason_3, 'Feature: no_such_feature' AS reason_4 FROM risk", "risk"),
     "write_risk_table": with_ctes(
         f"SELECT cms_code_enc, churn_probability, churn_flag, {r('threshold_used')} AS threshold, '0107' AS window_end, 3 AS w_star, 2 AS horizon, reason_1, reason_2, reason_3 FROM risk WHERE churn_flag = 1", "risk"),

@@ -85,23 +85,13 @@ def order_statistics(
     ranked = _join_keys(shrunk, brackets, keys).select(
         *keys, "_n", "_in", "_region", "_c", F.posexplode(F.arrays_zip("_lo", "_hi")).alias("prob_id", "_b")
     )
-    in_b = F.col("_in").between(F.col("_b._lo"), F.col("_b._hi"))
+    in_b = F.coalesce(F.col("_in").between(F.col("_b._lo"), F.col("_b._hi")), F.lit(False))
     under = F.when(F.col("_in").isNull(), F.col("_region") <= F.col("prob_id")).otherwise(F.col("_in") < F.col("_b._lo"))
-    ladder = (
-        ranked.filter(in_b | under)
-        # Rows are already one per value, so one shuffle serves the sum and the window.
-        .repartition(*keys, "prob_id")
-        .groupBy(*keys, "prob_id", "_n", F.when(in_b, F.col("_in")).alias("_v"))
-        .agg(F.sum("_c").alias("_c"))
-        .withColumn(
-            "_cum",
-            F.sum("_c").over(
-                Window.partitionBy(*keys, "prob_id")
-                .orderBy(F.col("_v").asc_nulls_first())
-                .rowsBetween(Window.unboundedPreceding, 0)
-            ),
-        )
-    )
+    ranks = [*keys, "prob_id"]
+    below = ranked.groupBy(*ranks).agg(F.max("_n").alias("_n"), F.coalesce(F.sum(F.when(~in_b & under, F.col("_c"))), F.lit(0)).alias("_under"))
+    inside_b = ranked.filter(in_b).select(*ranks, F.col("_in").alias("_v"), "_c")
+    # The values of a bracket are summed up bucket by bucket, so no task orders a whole bracket.
+    ladder = _join_keys(running_totals(inside_b, ranks, "_v", ["_c"], steps=8), below, ranks).withColumn("_cum", F.col("cum__c") + F.col("_under"))
     pos = F.coalesce(*[F.when(F.col("prob_id") == i, position(F.col("_n"), p)) for i, p in enumerate(probs)])
     low_k, high_k = F.floor(pos), F.ceil(pos)
     found = (
@@ -113,7 +103,7 @@ def order_statistics(
             F.min(F.when(F.col("_cum") > low_k, F.col("_v"))).alias("_q0"),
             F.min(F.when(F.col("_cum") > high_k, F.col("_v"))).alias("_q1"),
             F.min(F.when(F.col("_cum") > low_k, F.col("_cum") - F.col("_c"))).alias("below"),
-            F.max(F.col("_v").isNull() & (F.col("_cum") > low_k)).alias("_missed"),
+            F.max(F.col("_under") > low_k).alias("_missed"),
         )
     )
     miss = F.col("_missed") | F.col("_q1").isNull()
@@ -142,21 +132,26 @@ def running_totals(
     measures: Sequence[str],
     *,
     descending: bool = False,
-    buckets: int = 256,
+    steps: int = 10,
 ) -> DataFrame:
     """Running sums over distinct values, without one task per key.
 
     ``totals`` has one row per key and value. Adds ``cum_{measure}``, the sum over
-    all values up to this one (from the top when ``descending``).
+    all values up to this one (from the top when ``descending``). Values are dealt to
+    ``2 ** steps`` buckets of about equal size by binary search among sketched edges.
     """
+    buckets = 1 << steps
     keys, measures = list(keys), list(measures)
     sign = -1.0 if descending else 1.0
     data = totals.withColumn("_o", F.col(value).cast("double") * F.lit(sign))
     cuts = F.array(*[F.lit((i + 1) / buckets) for i in range(buckets - 1)])
-    edges = data.groupBy(*keys).agg(F.array_distinct(F.percentile_approx("_o", cuts, F.lit(10_000))).alias("_edges"))
-    bucketed = _join_keys(data, edges, keys).withColumn(
-        "_bucket", F.size(F.filter("_edges", lambda e: e < F.col("_o")))
-    ).drop("_edges")
+    edges = data.groupBy(*keys).agg(F.percentile_approx("_o", cuts, F.lit(max(10_000, 4 * buckets))).alias("_edges"))
+    halves = F.array(*[F.lit(1 << k) for k in reversed(range(steps))])
+
+    def descend(at: Column, half: Column) -> Column:
+        return at + F.when(F.get("_edges", at + half - 1) < F.col("_o"), half).otherwise(0)
+
+    bucketed = _join_keys(data, edges, keys).withColumn("_bucket", F.aggregate(halves, F.lit(0), descend)).drop("_edges")
     before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         bucketed.groupBy(*keys, "_bucket")
@@ -164,7 +159,7 @@ def running_totals(
         .select(*keys, "_bucket", *[F.coalesce(F.sum(f"_t_{m}").over(before), F.lit(0)).alias(f"_b_{m}") for m in measures])
     )
     within = Window.partitionBy(*keys, "_bucket").orderBy("_o").rowsBetween(Window.unboundedPreceding, 0)
-    # At most 256 offset rows per key.
+    # At most one offset row per key and bucket.
     joined = bucketed.join(F.broadcast(offsets), [*keys, "_bucket"])
     out = joined
     for m in measures:

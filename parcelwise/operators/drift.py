@@ -13,7 +13,6 @@ from parcelwise.operators.eda import feature_names, finite_long, present
 from parcelwise.schemas import CUSTOMER
 
 SHARE_FLOOR = 1e-8
-MAX_FEATURES = 200
 
 
 # --------------------------------------------------------------------------
@@ -52,12 +51,10 @@ def bin_counts(long: DataFrame, edges: DataFrame, keys: Sequence[str] = (), *, c
     )
 
 
-def numeric_profile(df: DataFrame, features: Sequence[str], n_bins: int = 10, max_features: int = MAX_FEATURES) -> DataFrame:
-    """Reference profile: ``feature, n, bin, lo, hi, train_count``. A feature without
-    values has no profile; only the first ``max_features`` columns are profiled."""
-    names = present(df, features)[:max_features]
-    long = finite_long(df, names)
-    return profile_from_long(long, n_bins)
+def numeric_profile(df: DataFrame, features: Sequence[str], n_bins: int = 10) -> DataFrame:
+    """Reference profile: ``feature, n, bin, lo, hi, train_count``, for every feature
+    that has values."""
+    return profile_from_long(finite_long(df, present(df, features)), n_bins)
 
 
 def profile_from_long(long: DataFrame, n_bins: int = 10) -> DataFrame:

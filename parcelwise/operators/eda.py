@@ -48,7 +48,8 @@ def feature_names(df: DataFrame, features: Sequence[str]) -> DataFrame:
 
 
 def percentile_name(p: float) -> str:
-    return f"p{int(p * 100)}"
+    """``p`` and the percentage with the digits it needs: p5, p99, p99_5."""
+    return f"p{round(p * 100, 10):g}".replace(".", "_")
 
 
 # --------------------------------------------------------------------------

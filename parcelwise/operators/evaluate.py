@@ -85,39 +85,39 @@ def evaluate(scored: DataFrame, score: str = "churn_probability", label: str = "
     )
 
 
+# --- fixed values: the two pairs of gate metrics and the stored rule codes
+GATES = [(("f05", "F0.5"), ("pr_auc", "PR-AUC")), (("f2", "F2"), ("roc_auc", "ROC-AUC"))]
+RULE_FIRST, RULE_BETTER, RULE_WORSE = "accepted_no_previous", "accepted_f05_improved", "rejected_f05_not_improved"
+
+
 def guardrail(metrics: DataFrame, *, min_score: float = 0.10, min_auc: float = 0.05) -> DataFrame:
-    """Whether the metrics reach the minimum, and which do not.
+    """Adds ``passed`` and ``reason``: each gate metric must reach its minimum.
 
-    Uses F0.5 and PR-AUC, or F2 and ROC-AUC where those are absent.
+    The F gate and the area gate each take the first of their names that is a column of
+    ``metrics``; a missing or NULL metric counts as 0.
     """
-    def pick(names: list[tuple[str, str]]) -> tuple[Column, str]:
-        for name, label in names:
-            if name in metrics.columns:
-                return F.coalesce(F.col(name).cast("double"), F.lit(0.0)), label
-        return F.lit(0.0), names[-1][1]
-
-    score, score_label = pick([("f05", "F0.5"), ("f2", "F2")])
-    auc, auc_label = pick([("pr_auc", "PR-AUC"), ("roc_auc", "ROC-AUC")])
-    low = F.concat_ws(
-        "; ",
-        F.when(score < min_score, F.format_string(f"{score_label}=%.4f < min={min_score}", score)),
-        F.when(auc < min_auc, F.format_string(f"{auc_label}=%.4f < min={min_auc}", auc)),
-    )
-    passed = (score >= min_score) & (auc >= min_auc)
-    ok = F.format_string(f"Guardrail passed: {score_label}=%.4f >= {min_score}, {auc_label}=%.4f >= {min_auc}", score, auc)
-    return metrics.select("*", passed.alias("passed"), F.when(passed, ok).otherwise(F.concat(F.lit("GUARDRAIL FAILED: "), low)).alias("reason"))
+    checks = []
+    for options, least in zip(zip(*GATES), (min_score, min_auc)):
+        column, label = next((o for o in options if o[0] in metrics.columns), options[-1])
+        value = F.coalesce(F.col(column).cast("double"), F.lit(0.0)) if column in metrics.columns else F.lit(0.0)
+        ok = value >= least
+        text = F.concat(F.lit(f"{label} "), F.format_string("%.4f", value), F.when(ok, f" reaches {least}").otherwise(f" is below {least}"))
+        checks.append((ok, text))
+    passed = checks[0][0] & checks[1][0]
+    shown = [F.when(passed | ~ok, text) for ok, text in checks]
+    return metrics.select("*", passed.alias("passed"), F.concat_ws(", ", *shown).alias("reason"))
 
 
 def accept_reject(candidates: DataFrame, eps: float = 1e-6) -> DataFrame:
-    """Accept ``new_f05`` when there is no ``prev_f05`` or it is beaten by more than ``eps``."""
-    new, prev = F.col("new_f05"), F.col("prev_f05")
-    accepted = prev.isNull() | (new > prev + eps)
-    rule = (
-        F.when(prev.isNull(), "accepted_no_previous")
-        .when(accepted, F.format_string("accepted_f05_improved (%.4f → %.4f)", prev, new))
-        .otherwise(F.format_string(f"rejected_f05_not_improved (%.4f → %.4f, eps={eps!r})", prev, new))
-    )
-    return candidates.select("*", accepted.alias("accepted"), rule.alias("accept_rule"))
+    """Accept ``new_f05`` when there is no ``prev_f05`` or it is beaten by more than ``eps``.
+
+    ``accept_rule`` is the rule's code, followed by both scores where there are two.
+    """
+    gain = F.col("new_f05") - F.col("prev_f05")
+    accepted = F.coalesce(F.col("new_f05") > F.col("prev_f05") + eps, gain.isNull() & F.col("prev_f05").isNull())
+    code = F.when(F.col("prev_f05").isNull(), RULE_FIRST).when(accepted, RULE_BETTER).otherwise(RULE_WORSE)
+    scores = F.when(gain.isNotNull(), F.format_string(" (%.4f to %.4f)", "prev_f05", "new_f05"))
+    return candidates.select("*", accepted.alias("accepted"), F.concat(code, F.coalesce(scores, F.lit(""))).alias("accept_rule"))
 
 
 def top_percent_threshold(scored: DataFrame, threshold: float, pct: float | None = 10.0) -> DataFrame:

@@ -279,7 +279,7 @@ def leaky_features(names: Sequence[str], extra: Sequence[str] = ()) -> list[str]
 def reject_leaky_features(names: Sequence[str]) -> None:
     bad = leaky_features(names)
     if bad:
-        raise ValueError(f"Potential data leakage features are not allowed: {bad}")
+        raise ValueError(f"these features would leak the label: {', '.join(bad)}")
 
 
 def feature_projection(df: DataFrame, names: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:

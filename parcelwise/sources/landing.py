@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import csv
 import io
 import zipfile
 from collections.abc import Iterator, Sequence
+from urllib.parse import unquote
 
 import pandas as pd
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from parcelwise.functions import columns as C
-from parcelwise.schemas import CUSTOMER, HEADERS, TYPED_KINDS, landing_schema
+from parcelwise.schemas import CUSTOMER, HEADERS, TYPED_KINDS
 
 # --- fixed values: file name patterns
 MONTHLY_ARCHIVE = r"^([A-Za-z_][A-Za-z0-9_]*)_(\d{4})\.zip$"
@@ -96,14 +99,16 @@ def read_typed(spark: SparkSession, path: str | list[str], base: str) -> DataFra
 # row checks
 
 
-def sniff_delimiter(lines: DataFrame, head: int = 1000) -> DataFrame:
-    """Delimiter per file: the candidate whose smallest count over the first lines is
-    highest; the earlier candidate wins ties.
+def sniff_delimiter(lines: DataFrame, head: int | None = None) -> DataFrame:
+    """Delimiter per file: the candidate whose smallest count over the lines is highest;
+    the earlier candidate wins ties.
 
-    ``lines`` has ``file, line_no, line``. Only the first ``head`` lines of a file
-    count, as a delimiter test needs no more; blank ones are skipped.
+    ``lines`` has ``file, line_no, line``. All lines of a file count, or the first
+    ``head`` ones where that is asked for; blank ones are skipped.
     """
-    used = lines.filter((F.col("line_no") <= head) & (F.trim("line") != ""))
+    used = lines.filter(F.trim("line") != "")
+    if head is not None:
+        used = used.filter(F.col("line_no") <= head)
     counts = [(F.length("line") - F.length(F.replace(F.col("line"), F.lit(d), F.lit("")))).alias(f"d{i}") for i, d in enumerate(DELIMITERS)]
     smallest = used.select("file", *counts).groupBy("file").agg(*[F.min(f"d{i}").alias(f"d{i}") for i in range(len(DELIMITERS))])
     best = F.greatest(*[F.struct(F.col(f"d{i}").alias("n"), F.lit(-i).alias("o"), F.lit(d).alias("delimiter")) for i, d in enumerate(DELIMITERS)])
@@ -113,19 +118,28 @@ def sniff_delimiter(lines: DataFrame, head: int = 1000) -> DataFrame:
 
 
 def check_csv_rows(spark: SparkSession, path: str, base: str, *, sep: str = ",", has_header: bool = True) -> tuple[DataFrame, DataFrame]:
-    """Good rows and ragged rows of a file. A header that differs from the canonical one fails."""
+    """Good rows, and ragged rows with their file, of a file or folder.
+
+    With ``has_header`` every file must have a line of the canonical names; a file without
+    one fails. A second such line of a file is a ragged row.
+    """
     header = HEADERS[base]
-    lines = spark.read.text(path)
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.ltrim(F.col("value"), F.lit("\ufeff")).alias("line"))
+    lines = lines.filter(F.col("line") != "")
+    repeated = lines.select("file", "line").limit(0)
     if has_header:
-        first = lines.first()
-        names = [] if first is None else [c.strip('"') for c in first[0].lstrip("\ufeff").split(sep)]
-        if names != header:
-            raise ValueError(f"Header mismatch: got {names} vs {header}")
-        lines = lines.filter(F.ltrim(F.col("value"), F.lit("\ufeff")) != first[0].lstrip("\ufeff"))
+        named = F.replace(F.col("line"), F.lit('"'), F.lit("")) == sep.join(header)
+        heads = lines.groupBy("file").agg(F.count_if(named).alias("n"), F.min(F.when(named, F.col("line"))).alias("line"))
+        bad = heads.filter("n = 0").select("file").limit(3).collect()
+        if bad:
+            raise ValueError(f"{base}: no line with the expected names in {', '.join(r[0] for r in bad)}")
+        repeated = heads.select("file", F.explode(F.array_repeat("line", (F.col("n") - 1).cast("int"))).alias("line"))
+        lines = lines.filter(~named)
     ddl = ", ".join(f"`{c}` string" for c in [*header, "_bad"])
     options = {"sep": sep, "quote": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
-    rows = lines.filter(F.col("value") != "").select("value", F.from_csv("value", ddl, options).alias("r"))
-    return rows.filter("r._bad is null").select(*[f"r.{c}" for c in header]), rows.filter("r._bad is not null").select(F.col("value").alias("line"))
+    rows = lines.select("file", "line", F.from_csv("line", ddl, options).alias("r"))
+    ragged = rows.filter("r._bad is not null").select("file", "line")
+    return rows.filter("r._bad is null").select(*[f"r.{c}" for c in header]), ragged.unionByName(repeated)
 
 
 def guard_csv_injection(df: DataFrame, columns: Sequence[str], mode: str = "sanitize") -> DataFrame:
@@ -143,7 +157,7 @@ def guard_csv_injection(df: DataFrame, columns: Sequence[str], mode: str = "sani
         hit = F.col(c).rlike(pattern)
         if mode == "sanitize":
             return F.when(hit, F.concat(F.lit("'"), F.col(c))).otherwise(F.col(c))
-        return F.when(hit, F.raise_error(F.lit("CSV injection-like cell detected (text column)")).cast("string")).otherwise(F.col(c))
+        return F.when(hit, F.raise_error(F.lit("a text cell begins like a formula")).cast("string")).otherwise(F.col(c))
 
     return df.withColumns({c: guarded(c) for c in present})
 
@@ -223,45 +237,64 @@ def changed_archives(inventory: DataFrame, log: DataFrame) -> DataFrame:
     return inventory.join(latest, "name", "left").filter(~F.col("file_mtime").eqNullSafe(F.col("_seen"))).drop("_seen")
 
 
-ARCHIVE_LINES = "archive string, member string, line_no bigint, line string, error string"
+ARCHIVE_ROWS = "archive string, member string, row_no bigint, cells array<string>, error string"
 
 
-def extract_archives(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of all CSV members of all archives, one archive per task row.
+def extract_archives(spark: SparkSession, path: str, *, sep: str = ";") -> DataFrame:
+    """CSV records of all members of all archives: ``archive, member, row_no, cells, error``.
 
-    A broken archive becomes a row with ``error`` and no line.
+    Only the paths are listed; a task opens its archive where it lies and streams the
+    members, so neither an archive nor a member is held in memory. Quoted line breaks stay
+    inside their cell. What cannot be read (a broken archive, bytes that are no UTF-8)
+    becomes a row with ``error`` after the rows read before it.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path).select("path", "content")
-    return files.mapInPandas(_unzip, ARCHIVE_LINES)
+    files = list_files(spark, path).select("path")
+    return files.repartition("path").mapInPandas(lambda batches: _unzip(batches, sep), ARCHIVE_ROWS)
 
 
-def _unzip(batches: Iterator[pd.DataFrame], chunk: int = 50_000) -> Iterator[pd.DataFrame]:
-    columns = ["archive", "member", "line_no", "line", "error"]
+def _unzip(batches: Iterator[pd.DataFrame], sep: str, chunk: int = 20_000) -> Iterator[pd.DataFrame]:
+    columns = ["archive", "member", "row_no", "cells", "error"]
     for pdf in batches:
-        for path, content in zip(pdf["path"], pdf["content"]):
-            archive = path.rsplit("/", 1)[-1]
+        for path in pdf["path"]:
+            archive, member, buffer = unquote(path.rsplit("/", 1)[-1]), None, []
             try:
-                with zipfile.ZipFile(io.BytesIO(content)) as z:
+                system, place = fs.FileSystem.from_uri(path)
+                with system.open_input_file(place) as raw, zipfile.ZipFile(raw) as z:
                     for member in sorted(n for n in z.namelist() if n.lower().endswith(".csv")):
-                        with z.open(member) as raw:
-                            buffer: list[tuple] = []
-                            for no, line in enumerate(io.TextIOWrapper(raw, "utf-8-sig", errors="replace", newline=""), start=1):
-                                buffer.append((archive, member, no, line.rstrip("\r\n"), None))
+                        with z.open(member) as data, io.TextIOWrapper(data, "utf-8-sig", newline="") as text:
+                            for no, cells in enumerate(csv.reader(text, delimiter=sep), start=1):
+                                buffer.append((archive, member, no, cells, None))
                                 if len(buffer) >= chunk:
                                     yield pd.DataFrame(buffer, columns=columns)
                                     buffer = []
-                            if buffer:
-                                yield pd.DataFrame(buffer, columns=columns)
-            except (zipfile.BadZipFile, OSError, RuntimeError, NotImplementedError) as error:
-                yield pd.DataFrame([(archive, None, None, None, f"{type(error).__name__}: {error}")], columns=columns)
-
-
-def parse_lines(lines: DataFrame, base: str, *, sep: str = ";") -> DataFrame:
-    """Rows of extracted lines in canonical columns; header lines are dropped."""
-    schema = landing_schema(base)
-    ddl = ", ".join(f"`{f.name}` string" for f in schema.fields)
-    parsed = F.from_csv("line", ddl, {"sep": sep, "quote": '"'})
-    return lines.filter("error is null and line_no > 1").select("archive", "member", parsed.alias("r")).select("archive", "member", "r.*")
+            except (zipfile.BadZipFile, OSError, RuntimeError, NotImplementedError, ValueError, csv.Error) as error:
+                buffer.append((archive, member, None, None, f"{type(error).__name__}: {error}"))
+            if buffer:
+                yield pd.DataFrame(buffer, columns=columns)
+
+
+def parse_rows(rows: DataFrame, base: str) -> tuple[DataFrame, DataFrame]:
+    """Good rows in canonical columns, and rejected rows with ``reason``.
+
+    The first record of a member is its header if one of its cells is a canonical name. A
+    header with another number of cells rejects its whole member (``header``), other records
+    of a wrong length are rejected one by one (``cells``), unreadable parts as ``unreadable``.
+    Blank records are skipped.
+    """
+    expected = HEADERS[base]
+    known = F.array(*[F.lit(c.lower()) for c in expected])
+    names = F.transform("cells", lambda c: F.lower(F.trim(c)))
+    head = (F.col("row_no") == 1) & F.arrays_overlap(names, known)
+    fits = F.size("cells") == len(expected)
+    wrong = rows.filter(head & ~fits).select("archive", "member", F.lit(True).alias("_wrong"))  # one row per member at most
+    blank = (F.size("cells") == 0) | F.coalesce((F.size("cells") == 1) & (F.trim(F.get("cells", F.lit(0))) == ""), F.lit(False))
+    data = rows.filter(F.col("error").isNotNull() | ~(F.coalesce(head & fits, F.lit(False)) | blank))
+    reason = (
+        F.when(F.col("error").isNotNull(), "unreadable").when(F.col("_wrong"), "header").when(~fits, "cells")
+    )
+    marked = data.join(wrong, ["archive", "member"], "left").withColumn("reason", reason)
+    good = marked.filter("reason is null").select("archive", "member", *[F.get("cells", F.lit(i)).alias(c) for i, c in enumerate(expected)])
+    return good, marked.filter("reason is not null").select("archive", "member", "row_no", "cells", "error", "reason")
 
 
 # --------------------------------------------------------------------------

@@ -34,11 +34,12 @@ def append_ingest_log(row: DataFrame, path: str) -> None:
 def scan_months(table: DataFrame, start: str, end: str) -> DataFrame:
     """Whole months between two dates of a table partitioned by ``yymm``.
 
-    The list of months is a literal, so only those partitions are read.
+    The list of months is a literal, so only those partitions are read. Months are
+    compared as numbers: readers infer ``0001`` as 1.
     """
     first, last = (int(d[:4]) * 12 + int(d[5:7]) - 1 for d in (start, end))
-    months = [f"{m // 12 % 100:02d}{m % 12 + 1:02d}" for m in range(first, last + 1)]
-    return table.filter(F.col("yymm").cast("string").isin(months))
+    months = [m // 12 % 100 * 100 + m % 12 + 1 for m in range(first, last + 1)]
+    return table.filter(F.col("yymm").cast("int").isin(months))
 
 
 def scan_month_paths(spark: SparkSession, paths: Sequence[str]) -> DataFrame:

@@ -39,24 +39,26 @@ def test_entry_and_names(spark):
 
 def test_churn_run(spark, tmp_path):
     i = inputs(spark, SF)
-    cfg = dataset.DatasetConfig(t_obs="2001-07-01", data_start=HISTORY, window_sizes=(3,), min_prototype_samples=2)
+    run = {"t_obs": "2001-07-01", "data_start": HISTORY, "settings": {"prototype": {"min_samples": 2}}}
     ids = i.table("customer").selectExpr("concat(case when c_custkey % 5 = 0 then 'T' else 'C' end, lpad(cast(c_custkey as string), 8, '0')) as cms_code_enc").filter("substr(cms_code_enc, 9, 1) in ('1', '4')")
-    ds = dataset.prepare_dataset(i.customer_month, i.info, i.features, ids, i.months, cfg, window_size=3)
-    assert ds.metadata["w_star"] == 3 and T_OBS > cfg.t_obs
-    model_cfg = M.ModelConfig(n_estimators=2, max_depth=2, min_f05=0.0, min_pr_auc=0.0)
-    out = churn.run_churn(ds, model_cfg, bundle_path=str(tmp_path / "b"))
+    ds = dataset.prepare_dataset(i.customer_month, i.info, i.features, ids, i.months, window_size=3, **run)
+    assert ds.metadata["w_star"] == 3 and T_OBS > run["t_obs"]
+    assert ds.metadata["prototype_cache"].filter("run_month = 107 and horizon = 2").count() == 1
+    quick = {"booster": {"maxIter": 2, "maxDepth": 2}, "limits": {"min_f05": 0.0, "min_pr_auc": 0.0}}
+    out = churn.run_churn(ds, **quick, bundle_path=str(tmp_path / "b"))
     assert out["status"] == "SUCCESS" and out["accept_rule"] == "accepted_no_previous"
     p = out["scored"].selectExpr("min(churn_probability) a", "max(churn_probability) b").first()
     assert 0 <= p["a"] <= p["b"] <= 1 and out["risk"].count() >= 1
     assert out["drift"].count() == len(ds.features)
     _, meta = M.load_bundle(str(tmp_path / "b"), spark)
     assert meta["threshold"] == out["metrics"]["threshold"]
-    again = churn.run_churn(ds, model_cfg, prev_f05=1.0, previous_bundle=str(tmp_path / "b"))
+    again = churn.run_churn(ds, **quick, prev_f05=1.0, previous_bundle=str(tmp_path / "b"))
     assert again["status"] == "REJECTED"
-    strict = churn.run_churn(ds, M.ModelConfig(n_estimators=2, max_depth=2, min_f05=1.1))
+    strict = churn.run_churn(ds, booster=quick["booster"], limits={"min_f05": 1.1})
     assert strict["status"] == "GUARDRAIL_FAILED" and "scored" not in strict
     assert churn.config_row(out, ds).first()["best_k"] == 3
-    with pytest.raises(ValueError, match="max_depth"):
-        M.ModelConfig(max_depth=0).validate()
+    with pytest.raises(Exception, match="maxDepth"):
+        M.train_churn_model(ds, maxDepth=-1)
     with pytest.raises(ValueError, match="alpha_ewma"):
-        dataset.DatasetConfig(alpha_ewma=1.5).validate()
+        dataset.merged_settings({"history": {"alpha_ewma": 1.5}})
+    assert dataset.candidate_sizes(i.features, i.months, 4) == [4, 5, 6]

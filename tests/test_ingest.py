@@ -47,9 +47,14 @@ def test_ragged_rows(spark, tmp_path):
     f.write_text("\n".join([",".join(head), good, bad, good]) + "\n")
     ok, ragged = L.check_csv_rows(spark, str(f), "cas_info")
     assert ok.count() == 2 and ragged.count() == 1
+    (tmp_path / "dir").mkdir()
+    for k, head_line in enumerate([",".join(head), '"' + '","'.join(head) + '"']):
+        (tmp_path / "dir" / f"{k}.csv").write_text("\n".join([head_line, good, ",".join(head)] if k else [head_line, bad]) + "\n")
+    ok, ragged = L.check_csv_rows(spark, str(tmp_path / "dir"), "cas_info")
+    assert ok.count() == 1 and sorted(r.line for r in ragged.collect()) in ([bad, ",".join(head)], sorted([bad, '"' + '","'.join(head) + '"']))
     f2 = tmp_path / "c.csv"
     f2.write_text("x,y\n1,2\n")
-    with pytest.raises(ValueError, match="Header mismatch"):
+    with pytest.raises(ValueError, match="expected names"):
         L.check_csv_rows(spark, str(f2), "cas_info")
 
 
@@ -57,11 +62,11 @@ def test_injection_modes(spark):
     df = spark.createDataFrame([("=1",), ("@x",), ("+1",), ("ok",), (None,)], "t string")
     assert [r[0] for r in L.guard_csv_injection(df, ["t"]).collect()] == ["'=1", "'@x", "+1", "ok", None]
     assert L.guard_csv_injection(df, ["t"], "off").collect() == df.collect()
-    with pytest.raises(Exception, match="injection"):
+    with pytest.raises(Exception, match="formula"):
         L.guard_csv_injection(df, ["t"], "text_only").collect()
     plus = df.filter("t = '+1'")
     assert L.guard_csv_injection(plus, ["t"], "text_only").count() == 1
-    with pytest.raises(Exception, match="injection"):
+    with pytest.raises(Exception, match="formula"):
         L.guard_csv_injection(plus, ["t"], "strict").collect()
 
 
@@ -72,11 +77,30 @@ def test_archives(spark, tmp_path):
     (tmp_path / "cas_info_update_250125.zip").write_bytes(b"not a zip")
     inv = {r["name"]: r for r in L.archive_inventory(L.list_files(spark, str(tmp_path))).collect()}
     assert inv["bccp_orderitem_2501.zip"]["mode"] == "monthly" and inv["cas_info_update_250125.zip"]["period_key"] == "20250125"
-    lines = L.extract_archives(spark, str(tmp_path)).persist()
-    errors = lines.filter("error is not null").collect()
+    rows = L.extract_archives(spark, str(tmp_path)).persist()
+    errors = rows.filter("error is not null").collect()
     assert [e["archive"] for e in errors] == ["cas_info_update_250125.zip"]
-    typed = L.typed_shipments(L.parse_lines(lines, "bccp_orderitem"))
+    good, rejected = L.parse_rows(rows, "bccp_orderitem")
+    typed = L.typed_shipments(good)
     assert typed.count() == 3 and typed.first()["cms_code_enc"] == "T1"
+    assert [r["reason"] for r in rejected.collect()] == ["unreadable"]
+
+
+def test_archive_rejects(spark, tmp_path):
+    head = HEADERS["cas_info"]
+    fine = ["x"] * (len(head) - 1)
+    members = {
+        "a.csv": [head, ["one", *fine], ["a", "b"], ["y"] * (len(head) + 2), ['"two\nlines"', *fine]],
+        "b.csv": [head[:-1], ["z", *fine]],
+        "c.csv": [["three", *fine]],
+    }
+    with zipfile.ZipFile(tmp_path / "cas_info_2501.zip", "w") as z:
+        for name, rows in members.items():
+            z.writestr(name, "\n".join(";".join(r) for r in rows) + "\n\n")
+        z.writestr("d.csv", b"\xff\xfe\n")
+    good, rejected = L.parse_rows(L.extract_archives(spark, str(tmp_path)), "cas_info")
+    assert sorted(r[2] for r in good.collect()) == ["one", "three", "two\nlines"]
+    assert sorted((r.member, r.reason) for r in rejected.collect()) == [("a.csv", "cells"), ("a.csv", "cells"), ("b.csv", "header"), ("b.csv", "header"), ("d.csv", "unreadable")]
 
 
 def test_confirmed(spark, tmp_path):
@@ -100,6 +124,10 @@ def test_month_tables(spark, tmp_path):
     assert T.scan_months(back, "2025-02-01", "2025-03-31").count() == 2
     plan = T.scan_months(back, "2025-02-01", "2025-03-31")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "2502" in plan
+    old = str(tmp_path / "old")
+    T.load_month(df, old, "0001")
+    T.load_month(df, old, "0012")
+    assert T.scan_months(spark.read.parquet(old), "2000-01-01", "2000-02-01").count() == 2
     T.load_snapshot(df, str(tmp_path / "s"))
     T.load_snapshot(df.limit(1), str(tmp_path / "s"))
     assert spark.read.parquet(str(tmp_path / "s")).count() == 1

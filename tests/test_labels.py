@@ -50,7 +50,7 @@ def test_split_confirmed(spark):
 def test_leaky_names():
     assert len(MODEL_FEATURES) == len(set(MODEL_FEATURES)) == 66
     L.reject_leaky_features(MODEL_FEATURES)
-    with pytest.raises(ValueError, match="leakage"):
+    with pytest.raises(ValueError, match="leak the label"):
         L.reject_leaky_features(["item_sum", "y_raw"])
 
 
