@@ -63,7 +63,8 @@ def order_statistics(
         F.when(small | F.lit(p >= 1 - slack), F.lit(INF)).otherwise(F.get("_s", F.lit(width + i)))
         for i, p in enumerate(probs)
     ]
-    brackets = sketch.select(*keys, "_n", F.array(*lows).alias("_lo"), F.array(*highs).alias("_hi"))
+    # Stored: both are small, and every later step reads them.
+    brackets = cut(sketch.select(*keys, "_n", F.array(*lows).alias("_lo"), F.array(*highs).alias("_hi")))
 
     # 2. Shrink the data: values inside a bracket stay, the rest become counts.
     #    There is one bracket row per key (features x months), so it is broadcast.
@@ -76,7 +77,7 @@ def order_statistics(
     for i in range(width):
         inside = inside | ((v >= lo[i]) & (v <= hi[i]))
         region = region + F.when(v > hi[i], 1).otherwise(0)
-    shrunk = (
+    shrunk = cut(
         joined.groupBy(*keys, F.when(inside, v).alias("_in"), F.when(~inside, region).alias("_region"))
         .agg(F.count(F.lit(1)).alias("_c"))
     )
