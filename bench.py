@@ -40,7 +40,7 @@ def main() -> None:
 
     def drift():
         eda = table().eda
-        profile = D.numeric_profile(eda.filter("window_end < '0107'"), EDA_FEATURES)
+        profile = D.numeric_profile(eda.filter("window_end <> '0107'"), EDA_FEATURES)
         return D.feature_drift(eda.filter("window_end = '0107'").select("cms_code_enc", *EDA_FEATURES), profile)
 
     specs = i.specs

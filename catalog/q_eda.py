@@ -44,7 +44,7 @@ def trends(i: Inputs):
 def q_compare_to_baseline(i: Inputs):
     """The newest window against all windows before it."""
     last = E.descriptive_stats(i.eda.filter("window_end = '0107'"), EDA_FEATURES)
-    before = E.descriptive_stats(i.eda.filter("window_end < '0107'"), EDA_FEATURES)
+    before = E.descriptive_stats(i.eda.filter("window_end <> '0107'"), EDA_FEATURES)
     stored = E.load_baseline(E.baseline_rows(before, "run"))
     return tidy(E.compare_to_baseline(last, stored))
 
@@ -184,7 +184,7 @@ tr AS (SELECT f, n, slope, CASE WHEN syy > 0 THEN 1 - greatest(syy - sxy * sxy /
   CASE WHEN syy > 0 THEN slope / (sqrt(greatest(syy - sxy * sxy / sxx, 0) / (n - 2)) / sqrt(sxx)) END AS t FROM fit)"""
 
 _CUR = all_stats("(SELECT * FROM eda WHERE window_end = '0107')")
-_BASE = all_stats("(SELECT * FROM eda WHERE window_end < '0107')")
+_BASE = all_stats("(SELECT * FROM eda WHERE window_end <> '0107')")
 _LONG = lambda src: "\nUNION ALL ".join(f"SELECT feature_name, '{s}' AS stat_name, {s} AS v FROM {src} WHERE {s} IS NOT NULL" for s in STATS)
 
 _CHART = lambda chart, src, item, value, n, order: f"SELECT * FROM (SELECT '{chart}' AS chart, {item} AS item, {r(value)} AS value FROM {src} WHERE ({value}) IS NOT NULL ORDER BY {order} DESC, {item} LIMIT {n})"

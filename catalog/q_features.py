@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog import sql as S
-from catalog.inputs import ALPHA, END_KEY, FLOOR, HISTORY, LAST, MAX_SIZE, SIZES, T_OBS, W, Inputs, tidy
+from catalog.inputs import ALPHA, END_KEY, FLOOR, FUTURE, HISTORY, LAST, MAX_SIZE, SIZES, T_OBS, W, Inputs, tidy
 from catalog.sql import SERVICES, feature_list, r, with_ctes
 from parcelwise.functions import columns as C
 from parcelwise.operators import features as X
@@ -32,7 +32,7 @@ BASE_INTS = ["month_count", "item_sum", "revenue_sum", "complaint_sum", "active_
 
 
 def q_monthly_rollup(i: Inputs):
-    return tidy(R.monthly_rollup(i.shipments, FLOOR, LAST))
+    return tidy(R.monthly_rollup(i.shipments, HISTORY, FUTURE))
 
 
 def q_monthly_sums(i: Inputs):
@@ -113,15 +113,15 @@ def q_ewma_order_parity(i: Inputs):
 
 
 def q_lifetime_activity(i: Inputs):
-    return tidy(X.lifetime_activity(i.customer_month, FLOOR), **FINE)
+    return tidy(X.lifetime_activity(i.customer_month, HISTORY), **FINE)
 
 
 def q_lifetime_shipments(i: Inputs):
-    return tidy(X.lifetime_shipments(i.shipments, FLOOR))
+    return tidy(X.lifetime_shipments(i.shipments, HISTORY))
 
 
 def q_customer_lifetime(i: Inputs):
-    return tidy(X.customer_lifetime(i.customer_month, i.info, i.shipments, FLOOR, T_OBS), 3)
+    return tidy(X.customer_lifetime(i.customer_month, i.info, i.shipments, HISTORY, T_OBS), 3)
 
 
 def q_latest_per_key(i: Inputs):
@@ -129,11 +129,11 @@ def q_latest_per_key(i: Inputs):
 
 
 def q_lifetime_asof(i: Inputs):
-    return tidy(X.lifetime_asof(i.customer_month, FLOOR, LAST), **FINE)
+    return tidy(X.lifetime_asof(i.customer_month, HISTORY, FUTURE), **FINE)
 
 
 def q_lifetime_asof_all(i: Inputs):
-    return tidy(X.lifetime_asof_all(i.customer_month, i.specs, FLOOR), **FINE)
+    return tidy(X.lifetime_asof_all(i.customer_month, i.specs, HISTORY), **FINE)
 
 
 def q_month_plan(i: Inputs):
@@ -272,7 +272,7 @@ def _mode(src: str) -> str:
 
 
 def _life_shipments() -> str:
-    return f"""s2 AS (SELECT * FROM shipments WHERE sending_time >= TIMESTAMP '{FLOOR}'),
+    return f"""s2 AS (SELECT * FROM shipments WHERE sending_time >= TIMESTAMP '{HISTORY}'),
 life_ship AS (
   SELECT b.cms_code_enc, b.lifetime_days_active, b.lifetime_pct_complaint_per_item,
          p.v::BIGINT AS most_common_rec_province, d.v::BIGINT AS most_common_rec_district,
@@ -292,7 +292,7 @@ def _life_sql() -> str:
     outs = [three(f"a.{n}", n) if n not in _LIFE_INT else f"a.{n}" for n in cols]
     sers = [f"a.ser_{s}" for s in SERVICES]
     body = f""", {_life_shipments()},
-act AS (SELECT cms_code_enc, min(report_month) AS first_month, {inner}, {_SER} FROM cm WHERE report_month >= DATE '{FLOOR}' GROUP BY 1)
+act AS (SELECT cms_code_enc, min(report_month) AS first_month, {inner}, {_SER} FROM cm WHERE report_month >= DATE '{HISTORY}' GROUP BY 1)
 SELECT a.cms_code_enc, a.cms_code_enc LIKE 'T%' AS is_corporate,
   coalesce(i.contract_classify, 1)::BIGINT AS contract_classify, coalesce(i.contract_service, 62)::BIGINT AS contract_service,
   coalesce(i.custype, 1)::BIGINT AS custype, strftime({sig}, '%Y-%m-%d') AS contract_sig_first,
@@ -330,7 +330,7 @@ _CHUNK = """
   GROUP BY m.g, z.g"""
 
 ORACLE = {
-    "monthly_rollup": with_ctes(f"SELECT cms_code_enc, strftime(report_month, '%Y-%m-%d') AS report_month, month_key, month_key_num, {_MONTHLY_OUT} FROM monthly", "monthly"),
+    "monthly_rollup": with_ctes(f"SELECT cms_code_enc, strftime(report_month, '%Y-%m-%d') AS report_month, month_key, month_key_num, {_MONTHLY_OUT} FROM cm", "cm"),
     "monthly_sums": with_ctes(
         f"""SELECT cms_code_enc, month_key_num, sum(item_count)::BIGINT AS item_sum, sum(total_fee)::BIGINT AS revenue_sum,
   sum(total_complaint)::BIGINT AS complaint_sum, sum(delay_count)::BIGINT AS delay_sum, sum(nodone)::BIGINT AS nodone_sum,
@@ -365,7 +365,7 @@ GROUP BY cms_code_enc, window_size, window_end""", "rows_w"),
         f"SELECT cms_code_enc, window_end, {r(_ewma_sql('item')[0])} AS ewma_item, {r(_ewma_sql('item')[1])} AS delta_ewma_item, 0.0::DOUBLE AS ewma_order, 0.0::DOUBLE AS delta_ewma_order FROM features WHERE window_size = {W}",
         "features"),
     "lifetime_activity": with_ctes(
-        f"SELECT cms_code_enc, strftime(min(report_month), '%Y-%m-%d') AS first_month, {_LIFE_OUT}, {_SER} FROM cm WHERE report_month >= DATE '{FLOOR}' GROUP BY cms_code_enc", "cm"),
+        f"SELECT cms_code_enc, strftime(min(report_month), '%Y-%m-%d') AS first_month, {_LIFE_OUT}, {_SER} FROM cm WHERE report_month >= DATE '{HISTORY}' GROUP BY cms_code_enc", "cm"),
     "lifetime_shipments": with_ctes(
         f""", {_life_shipments()}
 SELECT cms_code_enc, lifetime_days_active, {r('lifetime_pct_complaint_per_item')} AS lifetime_pct_complaint_per_item,
@@ -376,11 +376,11 @@ SELECT cms_code_enc, lifetime_days_active, {r('lifetime_pct_complaint_per_item')
   coalesce(contract_service, 62)::BIGINT AS contract_service, coalesce(custype, 1)::BIGINT AS custype, tenure::BIGINT AS tenure,
   contract_mgr_org::BIGINT AS contract_mgr_org, cus_poscode::BIGINT AS cus_poscode, cus_province::BIGINT AS cus_province FROM latest_info""", "latest_info"),
     "lifetime_asof": with_ctes(
-        f"SELECT cms_code_enc, '{LAST}' AS lifetime_asof_date, {_LIFE_OUT} FROM cm WHERE report_month >= DATE '{FLOOR}' AND report_month <= DATE '{LAST}' GROUP BY cms_code_enc", "cm"),
+        f"SELECT cms_code_enc, '{FUTURE}' AS lifetime_asof_date, {_LIFE_OUT} FROM cm WHERE report_month >= DATE '{HISTORY}' AND report_month <= DATE '{FUTURE}' GROUP BY cms_code_enc", "cm"),
     "lifetime_asof_all": with_ctes(
         f"""SELECT cms_code_enc, strftime(end_date, '%Y-%m-%d') AS lifetime_asof_date, {_LIFE_OUT}
 FROM cm JOIN (SELECT DISTINCT end_date FROM specs) e ON cm.report_month <= e.end_date
-WHERE report_month >= DATE '{FLOOR}' GROUP BY cms_code_enc, end_date""", "cm", "specs"),
+WHERE report_month >= DATE '{HISTORY}' GROUP BY cms_code_enc, end_date""", "cm", "specs"),
     "month_plan": with_ctes(
         """, b AS (SELECT date_trunc('month', min(sending_time)) AS lo, date_trunc('month', max(sending_time)) AS hi FROM shipments),
 m AS (SELECT unnest(generate_series(lo, hi, INTERVAL 1 MONTH)) AS month FROM b)

@@ -21,7 +21,7 @@ DRIFT_FEATURES = ["item_sum", "revenue_avg", "pct_delay", "active_days", "recenc
 
 
 def _reference(i: Inputs):
-    return i.eda.filter("window_end < '0107'")
+    return i.eda.filter("window_end <> '0107'")
 
 
 def _current(i: Inputs):
@@ -229,7 +229,7 @@ QUERIES = {
 # --------------------------------------------------------------------------
 
 _VALS = lambda cond: each("SELECT '{f}' AS f, {f}::DOUBLE AS v FROM eda WHERE {f} IS NOT NULL AND " + cond, DRIFT_FEATURES)
-PROFILE = f"refv AS ({_VALS(chr(34) + 'window_end' + chr(34) + ' < ' + chr(39) + '0107' + chr(39))}), curv AS ({_VALS(chr(34) + 'window_end' + chr(34) + ' = ' + chr(39) + '0107' + chr(39))}), {drift_cte('refv', 'curv', '')}"
+PROFILE = f"refv AS ({_VALS(chr(34) + 'window_end' + chr(34) + ' <> ' + chr(39) + '0107' + chr(39))}), curv AS ({_VALS(chr(34) + 'window_end' + chr(34) + ' = ' + chr(39) + '0107' + chr(39))}), {drift_cte('refv', 'curv', '')}"
 GRID = """grid AS (SELECT s.f, s.bin, s.e[s.bin + 1] AS lo, s.e[s.bin + 2] AS hi, s.n, coalesce(t.c, 0) AS t, coalesce(c.c, 0) AS c FROM slots s
   LEFT JOIN tc t ON t.f = s.f AND t.bin = s.bin LEFT JOIN cc c ON c.f = s.f AND c.bin = s.bin)"""
 PSI = """sh AS (SELECT f, n, bin, CASE WHEN sum(t) OVER w > 0 THEN greatest(least(t / sum(t) OVER w, 1), 1e-8) ELSE 0 END AS pt,

@@ -6,8 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from parcelwise.functions import columns as C
+from parcelwise.functions.lineage import cut
 from parcelwise.functions.quantiles import exact_quantiles
 from parcelwise.operators.eda import feature_names, finite_long, present
 from parcelwise.schemas import CUSTOMER
@@ -125,7 +127,11 @@ def stability(counts: DataFrame, keys: Sequence[str] = ("feature",)) -> DataFram
 
 
 def feature_drift(current: DataFrame, profile: DataFrame) -> DataFrame:
-    """Drift of every profiled feature; one missing from the current rows is an alert."""
+    """Drift of every profiled feature; one missing from the current rows is an alert.
+
+    The profile (one row per feature and bin) is stored first: three steps read it.
+    """
+    profile = cut(profile)
     absent = ~F.col("feature").isin([c for c in current.columns if c != CUSTOMER])
     scored = stability(counts_on_profile(current, profile))
     names = [c for c in current.columns if c != CUSTOMER]
@@ -153,9 +159,9 @@ def monthly_drift(df: DataFrame, features: Sequence[str], month: str, n_bins: in
     first = df.agg(F.min(month)).scalar()
     reference = profile_from_long(long.filter(F.col(month) == first), n_bins)
     later = df.select(month).distinct().filter(F.col(month) > first)
+    months = F.array(*[F.lit(r[0]) for r in later.collect()]).cast(T.ArrayType(df.schema[month].dataType))  # bounded by the calendar
     counts = bin_counts(long.filter(F.col(month) > first), profile_edges(reference), [month])
-    # months x bins x features rows; both sides are bounded by the plan.
-    slots = reference.withColumn("_j", F.lit(1)).join(F.broadcast(later.withColumn("_j", F.lit(1))), "_j").drop("_j")
+    slots = reference.withColumn(month, F.explode(months))
     filled = slots.join(counts, [month, "feature", "bin"], "left").withColumn("cur_count", F.coalesce("cnt", F.lit(0)))
     psi = F.col("psi")
     return (

@@ -61,9 +61,13 @@ def read_jdbc_table(
 
 
 def write_window_tables(features: DataFrame, path: str) -> None:
-    """Write windows as partitions; a rewritten window replaces only itself."""
+    """Write windows as partitions; a rewritten window replaces only itself.
+
+    Rows are rebalanced by their window: adaptive execution splits a large window into tasks
+    of the advised size and joins small ones, so files follow the data and no bucket count is set.
+    """
     (
-        features.repartition("window_size", "window_end", F.pmod(F.xxhash64("cms_code_enc"), F.lit(32)))
+        features.hint("rebalance", "window_size", "window_end")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("window_size", "window_end")
