@@ -76,8 +76,6 @@ TEMPLATES: dict[str, tuple[str, list[str]]] = {
 }
 #: The label a template stands for, where it differs from its name.
 LABELS = {"gpl-work": "gpl"}
-#: Distinct licence words looked up per file, those with the highest inverse document frequency first.
-RAREST = 24
 #: Share of the template's words that must lie at their relative positions.
 MATCH = 0.8
 
@@ -117,7 +115,8 @@ def _places(words: list[bytes], phrase: list[bytes], first: list[int]) -> list[i
 def scan(words: list[bytes], index: Index) -> dict[str, float]:
     """Templates found in a file with the share of their words that lie in place.
 
-    The file's places of its rarest licence words vote for (template, relative position);
+    A template whose key phrases do not all stand in the file is ruled out; every word of
+    the others votes for its relative positions, so no other licence takes its place;
     a start with votes is compared word by word, and the key phrases must stand inside the
     compared stretch (widened by a tenth of the template for inserted words).
     """
@@ -126,8 +125,10 @@ def scan(words: list[bytes], index: Index) -> dict[str, float]:
     for i, word in enumerate(words):
         if word in postings:
             at.setdefault(word, []).append(i)
-    rare = sorted(at, key=lambda w: (-index.idf[w], w))[:RAREST]
-    votes = Counter((name, i - place) for word in rare for name, place in postings[word] for i in at[word])
+    open_ = {name for name, keys in index.keys.items() if all(_places(words, k, at.get(k[0], [])) for k in keys)}
+    if not open_:
+        return {}
+    votes = Counter((name, i - place) for word in at for name, place in postings[word] if name in open_ for i in at[word])
     found: dict[str, float] = {}
     for (name, start), n in votes.items():
         sequence = index.words[name]

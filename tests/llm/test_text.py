@@ -176,3 +176,12 @@ def test_licences(spark):
         assert (r.n_words, r.n_base, r.first_word, r.last_word) == (len(words), len(places), min(places, default=None), max(places, default=None))
         assert r.base_labels == ",".join(sorted(labels)) and labels <= set(filter(None, r.labels.split(","))) and 0 <= r.score <= 1
     assert got[9].labels == "mit" and got[10].labels == "" and got[12].labels == "apache-2.0"
+
+
+def test_several_licences_in_one_file(spark):
+    """Other licences of a file, or commoner words in the corpus, take no label away."""
+    one = {k: licenses.TEMPLATES[k][0] for k in ("mit", "apache-2.0", "bsd", "isc")}
+    texts = ["\n\n".join(one.values())] + [one["apache-2.0"]] * 60
+    got = {r.doc_id: r for r in licenses.scan_licenses(frame(spark, texts)).collect()}
+    assert got[0].labels == "apache-2.0,bsd,isc,mit"
+    assert licenses.scan_licenses(frame(spark, texts[:1])).collect()[0].labels == got[0].labels
