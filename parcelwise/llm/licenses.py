@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -16,7 +18,7 @@ from parcelwise.llm.common import store
 # The contract's phrases and their labels.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
-# Opening or notice passages of public licences with the phrases that must occur.
+# Passages and whole standard wordings of public licences with the phrases that must occur, in this order.
 TEMPLATES: dict[str, tuple[str, list[str]]] = {
     "mit": (
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
@@ -37,7 +39,7 @@ TEMPLATES: dict[str, tuple[str, list[str]]] = {
     "isc": (
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
         "granted, provided that the above copyright notice and this permission notice appear in all copies",
-        ["permission to use copy modify and or distribute this software"],
+        ["permission to use copy modify", "distribute this software for any purpose with or without fee", "provided that the above copyright notice"],
     ),
     "gpl": (
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
@@ -55,7 +57,15 @@ TEMPLATES: dict[str, tuple[str, list[str]]] = {
     ),
     "mpl-2.0": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
-        ["mozilla public license"],
+        ["mozilla public license v 2 0"],
+    ),
+    "mpl-2.0-version": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, Version 2.0",
+        ["mozilla public license version 2 0"],
+    ),
+    "mpl-2.0-bare": (
+        "Licensed under the Mozilla Public License 2.0",
+        ["mozilla public license 2 0"],
     ),
     "cc-by-nc": (
         "Licensed under CC BY-NC 4.0",
@@ -73,11 +83,112 @@ TEMPLATES: dict[str, tuple[str, list[str]]] = {
         "This is free and unencumbered software released into the public domain",
         ["free and unencumbered software released into the public domain"],
     ),
+    "mit-text": (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+        'documentation files (the "Software"), to deal in the Software without restriction, including without limitation the '
+        "rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit "
+        "persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and "
+        "this permission notice shall be included in all copies or substantial portions of the Software. "
+        'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE '
+        "WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR "
+        "COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR "
+        "OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+        ["permission is hereby granted free of charge", "sublicense and or sell copies"],
+    ),
+    "apache-2.0-text": (
+        'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the '
+        "License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by "
+        'applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, '
+        "WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language "
+        "governing permissions and limitations under the License.",
+        ["apache license version 2 0"],
+    ),
+    "bsd-text": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+        "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of "
+        "conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, "
+        "this list of conditions and the following disclaimer in the documentation and/or other materials provided with the "
+        "distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+        "promote products derived from this software without specific prior written permission. "
+        'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, '
+        "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+        "DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, "
+        "SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR "
+        "SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, "
+        "WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE "
+        "OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.",
+        ["redistribution and use in source and binary forms", "retain the above copyright notice"],
+    ),
+    "isc-text": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies. "
+        'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL '
+        "IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, "
+        "INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN "
+        "AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR "
+        "PERFORMANCE OF THIS SOFTWARE.",
+        ["permission to use copy modify", "distribute this software for any purpose with or without fee", "provided that the above copyright notice"],
+    ),
+    "gpl-text": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
+        "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later "
+        "version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the "
+        "implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more "
+        "details. You should have received a copy of the GNU General Public License along with this program. If not, see "
+        "https://www.gnu.org/licenses/.",
+        ["terms of the gnu general public license"],
+    ),
+    "lgpl-text": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+        "Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) "
+        "any later version. This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without "
+        "even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public "
+        "License for more details. You should have received a copy of the GNU Lesser General Public License along with this "
+        "library; if not, see https://www.gnu.org/licenses/.",
+        ["gnu lesser general public license"],
+    ),
+    "mpl-2.0-text": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+        "distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+        ["mozilla public license v 2 0"],
+    ),
+    "cc-by-nc-text": (
+        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+        ["creative commons attribution noncommercial"],
+    ),
+    "cc-by-sa-text": (
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+        ["creative commons attribution sharealike"],
+    ),
+    "cc-by-nc-sa": (
+        "Licensed under CC BY-NC-SA 4.0",
+        ["cc by nc sa"],
+    ),
+    "cc-by-nc-sa-text": (
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+        ["creative commons attribution noncommercial sharealike"],
+    ),
+    "cc-by-nc-nd": (
+        "Licensed under CC BY-NC-ND 4.0",
+        ["cc by nc nd"],
+    ),
+    "cc-by-nc-nd-text": (
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.",
+        ["creative commons attribution noncommercial noderivatives"],
+    ),
+    "unlicense-text": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, "
+        "compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, "
+        "commercial or non-commercial, and by any means.",
+        ["free and unencumbered software released into the public domain"],
+    ),
 }
 #: The label a template stands for, where it differs from its name.
-LABELS = {"gpl-work": "gpl"}
-#: Share of the template's words that must lie at their relative positions.
-MATCH = 0.8
+LABELS = {"gpl-work": "gpl", "mpl-2.0-version": "mpl-2.0", "mpl-2.0-bare": "mpl-2.0"} | {name: name.removesuffix("-text") for name in TEMPLATES if name.endswith("-text")}
+#: Inserted or missing words between two key phrases of a notice: up to half the template and this many.
+DRIFT = 16
+#: Comment words, numbers and bullets that open a line; the templates are looked up with and without them.
+LEAD = re.compile(rb"^[ \t]*+(?:dnl|rem|c|[0-9]{1,6}[.):]?|\(?[a-z0-9]{1,3}[.)])[ \t]++", re.I | re.M)
 
 _TABLE = bytes(b | 0x20 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
 
@@ -87,24 +198,45 @@ def words_of(data: bytes) -> list[bytes]:
     return data.translate(_TABLE).split()
 
 
+@dataclass(frozen=True)
+class Key:
+    """A key phrase, its place in the template, the place of its rarest word and the longer phrases that begin with it."""
+
+    words: list[bytes]
+    place: int
+    anchor: int
+    longer: list[list[bytes]]
+
+
 @dataclass(frozen=True)
 class Index:
-    """Templates as words, their postings, key phrases and the words' inverse document frequencies."""
+    """Templates as words, bit sets of each word's places, key phrases in order and the words' inverse document frequencies."""
 
     words: dict[str, list[bytes]]
-    postings: dict[bytes, list[tuple[str, int]]]
-    keys: dict[str, list[list[bytes]]]
+    bits: dict[str, dict[bytes, int]]
+    keys: dict[str, list[Key]]
     idf: dict[bytes, float]
 
 
 def build_index(templates: dict[str, tuple[str, list[str]]], counts: dict[bytes, int], total: int) -> Index:
     words = {name: words_of(text.encode()) for name, (text, _) in templates.items()}
-    postings: dict[bytes, list[tuple[str, int]]] = {}
+    bits: dict[str, dict[bytes, int]] = {}
     for name, sequence in words.items():
+        places = bits[name] = {}
         for at, word in enumerate(sequence):
-            postings.setdefault(word, []).append((name, at))
-    keys = {name: [words_of(k.encode()) for k in phrases] for name, (_, phrases) in templates.items()}
-    return Index(words, postings, keys, {w: log((total + 1) / (counts.get(w, 0) + 1)) for w in postings})
+            places[word] = places.get(word, 0) | 1 << at
+    split = {name: [words_of(k.encode()) for k in phrases] for name, (_, phrases) in templates.items()}
+    phrases = [k for found in split.values() for k in found]
+    idf = {w: log((total + 1) / (counts.get(w, 0) + 1)) for x in [*words.values(), *phrases] for w in x}
+    keys: dict[str, list[Key]] = {}
+    for name, found in split.items():
+        keys[name], low = [], 0
+        for k in found:
+            place = next((i for i in range(low, len(words[name])) if words[name][i : i + len(k)] == k), low)
+            longer = [p for p in phrases if len(p) > len(k) and p[: len(k)] == k]
+            keys[name].append(Key(k, place, max(range(len(k)), key=lambda i: (idf[k[i]], -i)), longer))
+            low = place + len(k)
+    return Index(words, bits, keys, idf)
 
 
 def _places(words: list[bytes], phrase: list[bytes], first: list[int]) -> list[int]:
@@ -112,35 +244,74 @@ def _places(words: list[bytes], phrase: list[bytes], first: list[int]) -> list[i
     return [i for i in first if words[i : i + n] == phrase]
 
 
+def _in_order(words: list[bytes], bits: dict[bytes, int], size: int) -> int:
+    """Length of the longest common subsequence of ``words`` and a template (bit-parallel)."""
+    every = row = (1 << size) - 1
+    for word in words:
+        if places := bits.get(word):
+            u = row & places
+            row = (row + u | row - u) & every
+    return size - row.bit_count()
+
+
+def _chains(keys: list[Key], places: list[list[int]], drift: int) -> Iterator[tuple[int, int]]:
+    """Least and greatest relative position of each chain of all key phrases in order."""
+    for first in places[0]:
+        start = first - keys[0].place
+        low, high, end = start, start, first + len(keys[0].words)
+        for key, found in zip(keys[1:], places[1:], strict=True):
+            i = bisect_left(found, max(end, start + key.place - drift))
+            if i == len(found) or found[i] > start + key.place + drift:
+                break
+            at = found[i] - key.place
+            low, high, end = min(low, at), max(high, at), found[i] + len(key.words)
+        else:
+            yield low, high
+
+
 def scan(words: list[bytes], index: Index) -> dict[str, float]:
-    """Templates found in a file with the share of their words that lie in place.
+    """Templates found in a file with the share of their words that lie in order.
 
-    A template whose key phrases do not all stand in the file is ruled out; every word of
-    the others votes for its relative positions, so no other licence takes its place;
-    a start with votes is compared word by word, and the key phrases must stand inside the
-    compared stretch (widened by a tenth of the template for inserted words).
+    The places of the rarest word of each key phrase point to its candidates, which are
+    verified word by word; of two phrases that begin at one word the longer counts. A
+    template is found where all its key phrases follow each other within a band of
+    neighbouring relative positions, so inserted, missing or changed words elsewhere do not
+    lose it. The share is the longest common subsequence of template and stretch.
     """
     at: dict[bytes, list[int]] = {}
-    postings = index.postings
+    idf = index.idf
     for i, word in enumerate(words):
-        if word in postings:
+        if word in idf:
             at.setdefault(word, []).append(i)
-    open_ = {name for name, keys in index.keys.items() if all(_places(words, k, at.get(k[0], [])) for k in keys)}
-    if not open_:
-        return {}
-    votes = Counter((name, i - place) for word in at for name, place in postings[word] if name in open_ for i in at[word])
     found: dict[str, float] = {}
-    for (name, start), n in votes.items():
-        sequence = index.words[name]
-        if n < min(2, len(sequence)) or found.get(name) == 1.0:
-            continue
-        held = sum(words[i] == w for i, w in enumerate(sequence, start) if 0 <= i < len(words)) / len(sequence)
-        if held < MATCH or held <= found.get(name, 0.0):
+    for name, keys in index.keys.items():
+        places = []
+        for key in keys:
+            anchor = key.words[key.anchor]
+            held = _places(words, key.words, [i - key.anchor for i in at.get(anchor, []) if i >= key.anchor])
+            held = [i for i in held if not any(words[i : i + len(p)] == p for p in key.longer)]
+            if not held:
+                break
+            places.append(held)
+        if len(places) < len(keys):
             continue
+        sequence = index.words[name]
         slack = len(sequence) // 10 + 1
-        low, high = max(0, start - slack), start + len(sequence) + slack
-        if all(any(i >= low and i + len(k) <= high for i in _places(words, k, at.get(k[0], []))) for k in index.keys[name]):
-            found[name] = held
+        for low, high in _chains(keys, places, DRIFT + len(sequence) // 2):
+            stretch = words[max(0, low - slack) : high + len(sequence) + slack]
+            found[name] = max(found.get(name, 0.0), _in_order(stretch, index.bits[name], len(sequence)) / len(sequence))
+            if found[name] == 1.0:
+                break
+    return found
+
+
+def scan_text(data: bytes, words: list[bytes], index: Index) -> dict[str, float]:
+    """Templates found in a text as it is or without the comment words, numbers and bullets of its lines."""
+    found = scan(words, index)
+    bare, n = LEAD.subn(b"", data)
+    if n:
+        for name, held in scan(words_of(bare), index).items():
+            found[name] = max(held, found.get(name, 0.0))
     return found
 
 
@@ -162,13 +333,13 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """``(doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score)`` of every row.
 
     Base labels come from the places of the phrases. The method adds the labels of the
-    templates it finds; ``score`` is the best share of a template's words in place, 1 for a
+    templates it finds; ``score`` is the best share of a template's words in order, 1 for a
     base phrase, 0 without either. NULL and empty texts have no words, empty labels and
     score 0. Rows are independent; repeated rows, NULL ids and further columns change
     nothing; an empty table gives an empty result. Document frequencies of the templates'
     words (a fixed, small set) are counted over all texts first.
     """
-    vocabulary = frozenset(w for text, _ in templates.values() for w in words_of(text.encode()))
+    vocabulary = frozenset(w for text, keys in templates.values() for x in [text, *keys] for w in words_of(x.encode()))
     counted = {bytes(r["word"]): r["n"] for r in store(_licence_words(docs, text_col, vocabulary), "idf").collect()}  # one row per template word
     index = build_index(templates, counted, counted.pop(b"", 0))
     base = [(words_of(p.encode()), label) for p, label in phrases.items()]
@@ -183,7 +354,7 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 found = _places(words, phrase, [i for i, w in enumerate(words) if w == phrase[0]])
                 places += found
                 labels |= {label} if found else set()
-        matched = scan(words, index)
+        matched = scan_text(data or b"", words, index)
         every = labels | {LABELS.get(m, m) for m in matched}
         score = 1.0 if labels else max(matched.values(), default=0.0)
         return (len(words), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(labels)), ",".join(sorted(every)), score)

@@ -185,3 +185,37 @@ def test_several_licences_in_one_file(spark):
     got = {r.doc_id: r for r in licenses.scan_licenses(frame(spark, texts)).collect()}
     assert got[0].labels == "apache-2.0,bsd,isc,mit"
     assert licenses.scan_licenses(frame(spark, texts[:1])).collect()[0].labels == got[0].labels
+
+
+def test_genuine_licence_texts(spark):
+    """Whole standard wordings, numbered, commented, reworded and partial forms keep their label."""
+    mit = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:"""
+    bsd = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+ 1. Redistributions of source code must retain the above copyright
+    notice, this list of conditions and the following disclaimer."""
+    isc = """Permission to use, copy, modify, and distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies."""
+    texts = {
+        mit: "mit",
+        "\n".join("dnl " + x for x in mit.split("\n")): "mit",
+        "\n".join(f"{n} {x}" for n, x in enumerate(mit.split("\n"), 1)): "mit",
+        bsd: "bsd",
+        "\n".join(" * " + x for x in bsd.split("\n")): "bsd",
+        isc: "isc",
+        isc.replace("and distribute", "and/or distribute"): "isc",
+        isc.split(", provided")[0]: "",  # 0BSD has no notice clause
+        "This work is licensed under a Creative Commons CC BY-NC 4.0 license": "cc-by,cc-by-nc",
+        "Licensed under CC BY-NC-SA 4.0": "cc-by,cc-by-nc-sa",
+        "the Mozilla Public License, version 1.1": "",
+        "Permission is hereby granted, free of charge. " + "word " * 400 + "sublicense, and/or sell copies": "",
+    }
+    got = {r.doc_id: r for r in licenses.scan_licenses(frame(spark, list(texts))).collect()}
+    assert [got[i].labels for i in range(len(texts))] == list(texts.values())
+    assert got[0].score == 1.0 and got[3].score == 1.0
