@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,10 +20,8 @@ CARD = r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){15,18}+(?![\x20-]?[0-
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 OCTET = "0*(?:[0-9]{1,2}|1[0-9][0-9]|2[0-4][0-9]|25[0-5])"
 
-#: Words on either side of an entity that are its context, and the characters searched for them.
-CONTEXT_WORDS, CONTEXT_CHARS = 5, 200
-#: Distinct contexts in which a term must meet an entity before its strength is estimated.
-MIN_SUPPORT = 3
+#: A term counts for an entity if fewer terms as frequent are expected to share so many texts with it by chance.
+EXPECTED = 0.25
 #: Bits of the entity that remain unknown given the term: at most the first, the term is removed; the second, generalised.
 REMOVE_BITS, GENERALISE_BITS = 0.15, 1.0
 #: Up to so many rows (terms, or documents with such terms) are broadcast; more are joined by a shuffle.
@@ -62,63 +62,107 @@ def _term(word: Column) -> Column:
     return F.lower(F.btrim(word, F.lit(".,;:!?()[]{}\"'")))
 
 
-def contexts(rows: DataFrame, id_col: str) -> DataFrame:
-    """``(entity, context, terms)`` of every entity's place; ``context`` is the hash of the words around it."""
-    spans = rows.select(
-        F.col("_row")[id_col].alias("id"), "_text", F.explode_outer(F.concat(*[F.col(f"_{k}") for k in KINDS])).alias("s")
-    ).where("s is not null")
-    start, end = F.col("s.start"), F.col("s.end")
-    low = F.greatest(start - CONTEXT_CHARS, F.lit(0))
-    before = split_words(F.substring(F.col("_text"), low + 1, start - low))
-    after = split_words(F.substring(F.col("_text"), end + 1, F.lit(CONTEXT_CHARS)))
-    near = spans.select(
-        "id", F.concat_ws(":", "s.kind", F.lower("s.value")).alias("entity"), F.reverse(before).alias("before"), after.alias("after")
-    )
-    words = F.concat(F.slice("before", 1, CONTEXT_WORDS), F.slice("after", 1, CONTEXT_WORDS))
-    named = near.select("id", "entity", F.xxhash64(F.array_join(words, " ")).alias("context"), F.array_distinct(F.transform(words, _term)).alias("terms"))
-    return named.withColumn("terms", F.filter("terms", lambda t: t.rlike(r"^\p{L}[\p{L}\p{N}_-]{2,}$")))
+def _text_key(text: Column) -> Column:
+    return F.md5(F.coalesce(text.cast("string"), F.lit("")).cast("binary"))
+
+
+def _words_of(text: Column) -> Column:
+    return F.array_distinct(split_words(F.coalesce(text.cast("string"), F.lit(""))))
+
 
+def _terms_of(text: Column) -> Column:
+    """The distinct terms of a whole text."""
+    words = F.array_distinct(F.transform(split_words(F.coalesce(text.cast("string"), F.lit(""))), _term))
+    return F.filter(words, lambda t: t.rlike(r"^\p{L}[\p{L}\p{N}_-]{2,}$"))
 
-def disclosing_terms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_support: int = MIN_SUPPORT) -> DataFrame:
-    """``(id, terms)``: per document with entities, its terms that reveal one of them.
 
-    A term's strength is its pointwise mutual information with the entity over documents;
-    the entity's own information minus it is what stays unknown, ``-log2 p(entity | term)``.
-    Support counts distinct contexts, so copies of one passage add none. Entity and pair
-    counts combine map-side; term counts cover every document, for candidate terms only.
+def _log_factorial(n: Column) -> Column:
+    """ln n! by Stirling's series at n + 7 (fixed values; error below 1e-9)."""
+    x = n.cast("double") + 7
+    series = (x - 0.5) * F.log(x) - x + 0.9189385332046727 + 1 / (12 * x) - 1 / (360 * F.pow(x, F.lit(3.0))) + 1 / (1260 * F.pow(x, F.lit(5.0)))
+    return series - sum((F.log(x - d) for d in range(2, 7)), F.log(x - 1))
+
+
+def _log_expected(n_pair: Column, n_term: Column, n_entity: Column, texts: int, held: int) -> Column:
+    """ln of the number of terms in ``n_term`` texts that share ``n_pair`` with an entity by chance, at most.
+
+    ``held`` (text, term) rows leave at most ``held / n_term`` such terms; a set of ``n_pair``
+    of a term's texts lies within the entity's by the hypergeometric law.
     """
+    f = _log_factorial
+    sets = f(n_term) - f(n_pair) - f(n_term - n_pair)
+    within = f(n_entity) - f(n_entity - n_pair) - f(F.lit(texts)) + f(F.lit(texts) - n_pair)
+    return F.log(F.lit(float(max(held, 1))) / n_term) + sets + within
+
+
+def strong_terms(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``(term, action)``: the terms that reveal an entity.
+
+    A term's strength is its pointwise mutual information with the entity over whole
+    distinct texts; the entity's own information minus it is what stays unknown,
+    ``-log2 p(entity | term)``. Copies of a text add nothing, and the co-occurrence must be
+    more than chance (EXPECTED) instead of reaching a fixed count. Before the corpus count,
+    entities and terms go whose counts alone rule that out; no result changes. All counts
+    combine map-side.
+    """
+    limit = math.log(EXPECTED)
+    sizes = docs.select(_text_key(F.col(text_col)).alias("key"), F.size(_words_of(F.col(text_col))).alias("n"))
+    texts, held = sizes.groupBy("key").agg(F.first("n").alias("n")).agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
     rows = add_entities(docs, text_col)
-    near = store(contexts(rows, id_col), "contexts")
-    pairs = near.select("id", "entity", "context", F.explode_outer("terms").alias("term")).where("term is not null")
-    pair = pairs.groupBy("entity", "term").agg(F.count_distinct("context").alias("support"), F.count_distinct("id").alias("n_pair"))
-    # A term occurs in at least as many documents as have it near any entity; where these alone
-    # leave more than GENERALISE_BITS open, the corpus count cannot make the term strong.
-    seen = pairs.groupBy("term").agg(F.count_distinct("id").alias("seen"))
-    likely = (F.col("support") >= min_support) & (F.col("n_pair") * 2.0**GENERALISE_BITS >= F.col("seen"))
-    pair = store(pair.join(seen, "term").where(likely).select("entity", "term", "n_pair"), "pairs")
+    spans = F.concat(*[F.col(f"_{k}") for k in KINDS])
+    # The outer form keeps the filter above the matching; as a pushed filter it would be computed twice.
+    near = rows.select("_text", F.explode_outer(spans).alias("s")).where("s is not null")
+    near = near.select(_text_key(F.col("_text")).alias("key"), "_text", F.concat_ws(":", "s.kind", F.lower("s.value")).alias("entity"))
+    near = near.groupBy("key").agg(F.collect_set("entity").alias("entities"), F.first("_text").alias("_text"))
+    near = near.select("key", "entities", _terms_of(F.col("_text")).alias("terms"))
+    near = store(near, "entity_texts")
+    entity = near.select("key", F.explode("entities").alias("entity"))
+    n = F.col("n_entity")
+    often = entity.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity")).where(_log_expected(n, n, n, texts, held) <= limit)
+    often = store(often, "entities")
+    seen = near.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("seen"))
+    of = entity.join(small_enough(often, BROADCAST_ROWS), "entity")
+    pairs = of.groupBy("key").agg(F.collect_list("entity").alias("entity")).join(near.select("key", "terms"), "key")
+    pairs = pairs.select(F.explode("entity").alias("entity"), "terms").select("entity", F.explode("terms").alias("term"))
+    pair = pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_pair"))
+    # A term stands in at least as many texts as have it beside any entity.
+    likely = F.col("n_pair") * 2.0**GENERALISE_BITS >= F.col("seen")
+    chance = _log_expected(F.col("n_pair"), F.col("seen"), F.col("n_entity"), texts, held) <= limit
+    pair = pair.join(seen, "term").where(likely).join(small_enough(often, BROADCAST_ROWS), "entity").where(chance)
+    pair = store(pair.select("entity", "term", "n_pair", "n_entity"), "pairs")
     wanted = store(pair.select("term").distinct(), "terms")
-    words = docs.select(F.array_distinct(F.transform(split_words(F.coalesce(F.col(text_col).cast("string"), F.lit(""))), _term)).alias("w"))
-    spread = words.select(F.explode_outer("w").alias("term")).where("term is not null")
-    counts = spread.join(small_enough(wanted, BROADCAST_ROWS), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+    spread = docs.select(_text_key(F.col(text_col)).alias("key"), F.explode(_words_of(F.col(text_col))).alias("word")).select("key", _term(F.col("word")).alias("term"))
+    counts = spread.join(small_enough(wanted, BROADCAST_ROWS), "term", "left_semi").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
     unknown = -F.log2(F.col("n_pair") / F.col("n_term"))
     action = F.when(unknown <= REMOVE_BITS, "remove").when(unknown <= GENERALISE_BITS, "generalise")
-    strong = store(pair.join(counts, "term").select("entity", "term", action.alias("action")).where("action is not null"), "strong")
-    held = pairs.select("id", "entity", "term").distinct().where("id is not null")
-    return held.join(small_enough(strong, BROADCAST_ROWS), ["entity", "term"]).groupBy("id").agg(
-        F.sort_array(F.collect_set(F.struct("term", "action"))).alias("terms")
-    )
+    chance = _log_expected(F.col("n_pair"), F.col("n_term"), F.col("n_entity"), texts, held) <= limit
+    strong = pair.join(counts, "term").where(chance).select("term", action.alias("action")).where("action is not null")
+    return store(strong.groupBy("term").agg(F.max("action").alias("action")), "strong")
+
+
+def _held_terms(docs: DataFrame, text_col: str) -> DataFrame:
+    """``(key, terms)``: per distinct text, by its hash, the strong terms it holds."""
+    strong = small_enough(strong_terms(docs, text_col), BROADCAST_ROWS)
+    words = docs.select(_text_key(F.col(text_col)).alias("key"), F.explode(_words_of(F.col(text_col))).alias("word"))
+    held = words.select("key", _term(F.col("word")).alias("term")).join(strong, "term").groupBy("key").agg(F.sort_array(F.collect_set(F.struct("term", "action"))).alias("terms"))
+    return store(held, "disclosing")
+
+
+def disclosing_terms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(id, terms)``: per document the terms it holds that reveal an entity, its own or another document's."""
+    keyed = docs.select(F.col(id_col).alias("id"), _text_key(F.col(text_col)).alias("key")).where("id is not null")
+    held = keyed.join(small_enough(_held_terms(docs, text_col), BROADCAST_ROWS), "key")
+    return held.select("id", F.explode("terms").alias("term")).groupBy("id").agg(F.sort_array(F.collect_set("term")).alias("terms"))
 
 
 def find_personal(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``_row``, ``_text``, the entity spans by kind and ``_terms``: spans of disclosing terms.
 
-    NULL and empty texts have no spans. Terms are looked up by document id: rows that repeat
-    an id share its terms, rows with a NULL id get entity spans only. Base spans do not
-    depend on the terms. An empty table gives an empty result.
+    NULL and empty texts have no spans. Terms are looked up by the text's hash, so every row
+    gets those its text holds, whatever its id. Base spans do not depend on the terms. An empty table gives an empty result.
     """
-    terms = store(disclosing_terms(docs, id_col, text_col), "disclosing")
-    keyed = terms.select(F.col("id").alias("_id"), F.col("terms").alias("_known"))
-    joined = docs.select(F.struct("*").alias("_in"), F.col(id_col).alias("_id")).join(small_enough(keyed, BROADCAST_ROWS), "_id", "left")
+    keyed = _held_terms(docs, text_col).select(F.col("key").alias("_key"), F.col("terms").alias("_known"))
+    joined = docs.select(F.struct("*").alias("_in"), _text_key(F.col(text_col)).alias("_key")).join(small_enough(keyed, BROADCAST_ROWS), "_key", "left")
     rows = add_entities(joined.select("_in", "_known", F.col("_in")[text_col].alias("_t")), "_t")
     rows = rows.withColumn("_known", F.coalesce(F.col("_row")["_known"], empty("struct<term:string,action:string>")))
     quoted = F.transform("_known", lambda t: F.concat(F.lit("\\Q"), t["term"], F.lit("\\E")))

@@ -219,3 +219,17 @@ copyright notice and this permission notice appear in all copies."""
     got = {r.doc_id: r for r in licenses.scan_licenses(frame(spark, list(texts))).collect()}
     assert [got[i].labels for i in range(len(texts))] == list(texts.values())
     assert got[0].score == 1.0 and got[3].score == 1.0
+
+
+def test_disclosing_terms_reach_whole_documents(spark):
+    """Terms far from the entity count, two texts can suffice, copies cannot, and every row that holds a term loses it."""
+    far = "the and for with this that from have are was " * 30
+    texts = [f"boss@corp.example.com {far} {w} Aurelio" for w in ["ships", "grain", "roads"]]
+    texts += ["only Aurelio and the grain", "one@two.example.org Zebedee", "one@two.example.org Zebedee"]
+    texts += [f"{far} ships grain roads other{i} more{i}" for i in range(60)]
+    docs = spark.createDataFrame([(None if i == 3 else i, t, 1, "x", 2) for i, t in enumerate(texts)], DOCS)
+    clean = {r.text for r in pii.sanitise(docs).collect()}
+    assert not any("Aurelio" in t for t in clean) and any(t.startswith("only ") and t.endswith(" and the grain") for t in clean)
+    assert "<EMAIL> Zebedee" in clean
+    terms = {r.id: [t.term for t in r.terms] for r in pii.disclosing_terms(docs).collect()}
+    assert terms == {i: ["aurelio"] for i in range(3)}
