@@ -23,10 +23,24 @@ TOKEN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+={0,2}"
 HEX_DIGITS = "0123456789abcdef"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 BASE64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
-ENCODINGS = {"hex": HEX_DIGITS, "base32": BASE32, "base64": BASE64}
+LOWER, UPPER, DIGITS = BASE64[26:52], BASE64[:26], BASE64[52:62]
+#: Alphabets by name; the narrowest that holds a token is tested.
+ENCODINGS = {
+    "hex": HEX_DIGITS,
+    "lower": LOWER,
+    "upper": UPPER,
+    "base32": BASE32,
+    "lower36": DIGITS + LOWER,
+    "upper36": DIGITS + UPPER,
+    "letters": UPPER + LOWER,
+    "base62": UPPER + LOWER + DIGITS,
+    "base64": BASE64,
+}
 #: Shares of lower case, capitals, digits and the rest in ordinary tokens, where the corpus has few; they weigh as PRIOR_SYMBOLS symbols.
 PRIOR = {"a-z": 0.90, "A-Z": 0.05, "0-9": 0.04, "+/": 0.01}
 PRIOR_SYMBOLS = 64
+#: Percent of the letters a to z in English text, which deals out the shares of letters.
+ENGLISH = [8.2, 1.5, 2.8, 4.3, 12.7, 2.2, 2.0, 6.1, 7.0, 0.15, 0.77, 4.0, 2.4, 6.7, 7.5, 1.9, 0.095, 6.0, 6.3, 9.1, 2.8, 0.98, 2.4, 0.15, 2.0, 0.074]
 #: A test of the battery rejects randomness below this probability, shared among its three tests.
 ALPHA = 0.003
 #: Share of ordinary tokens that may be among the findings of a length band.
@@ -43,11 +57,24 @@ def _upper_tail(z: Column) -> Column:
     return F.when(z >= 0, tail).otherwise(1 - tail)
 
 
+def _mixed(value: Column) -> Column:
+    return value.rlike("[0-9]") & value.rlike("[A-Za-z]")
+
+
 def _encoding(value: Column) -> Column:
-    """The narrowest alphabet that holds a token with letters and digits; NULL for plain words and numbers."""
-    mixed = value.rlike("[0-9]") & value.rlike("[A-Za-z]")
-    narrow = F.when(value.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$"), "hex").when(value.rlike("^[A-Z2-7]+=*$"), "base32").otherwise("base64")
-    return F.when(mixed, narrow)
+    """The narrowest alphabet that holds a token; NULL for tokens without letters."""
+    narrow = F.when(_mixed(value) & value.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$"), "hex")
+    forms = {"lower": "[a-z]", "upper": "[A-Z]", "base32": "[A-Z2-7]", "lower36": "[0-9a-z]", "upper36": "[0-9A-Z]", "letters": "[A-Za-z]", "base62": "[0-9A-Za-z]"}
+    for name, symbols in forms.items():
+        narrow = narrow.when(value.rlike(f"^{symbols}+=*$"), name)
+    return F.when(value.rlike("[A-Za-z]"), narrow.otherwise("base64"))
+
+
+def _by_encoding(values: dict[str, object]) -> Column:
+    out = F.lit(values["base64"])
+    for name, value in values.items():
+        out = F.when(F.col("encoding") == name, F.lit(value)).otherwise(out)
+    return out
 
 
 def battery(tokens: DataFrame) -> DataFrame:
@@ -58,7 +85,7 @@ def battery(tokens: DataFrame) -> DataFrame:
     is the probability of so large a deviation in random symbols; 0 where all symbols lie on
     one side of the middle or are the same, so that runs or correlation are not defined.
     """
-    alphabet = F.when(F.col("encoding") == "hex", HEX_DIGITS).when(F.col("encoding") == "base32", BASE32).otherwise(BASE64)
+    alphabet = _by_encoding(ENCODINGS)
     plain = F.translate(F.rtrim(F.col("value"), F.lit("=")), "-_", "+/")
     plain = F.when(F.col("encoding") == "hex", F.lower(plain)).otherwise(plain)
     rows = tokens.withColumns({"_alphabet": alphabet, "_plain": plain})
@@ -90,14 +117,15 @@ def battery(tokens: DataFrame) -> DataFrame:
 
 
 def _log_shares(tokens: DataFrame) -> list[float]:
-    """Log share of each of the 64 symbols in ordinary tokens (plain words), smoothed by the prior."""
-    plain = tokens.where("encoding is null").select(F.translate(F.rtrim(F.col("value"), F.lit("=")), "-_", "+/").alias("v"))
+    """Log share of each of the 64 symbols in ordinary tokens (plain words that fail the battery), smoothed by the prior."""
+    plain = tokens.where(~_mixed(F.col("value")) & ~F.coalesce("random", F.lit(False))).select(F.translate(F.rtrim(F.col("value"), F.lit("=")), "-_", "+/").alias("v"))
     symbols = plain.select(F.explode_outer(F.split("v", "")).alias("c")).where("c <> ''").groupBy("c").count()
     found = {r["c"]: r["count"] for r in symbols.collect()}  # at most 64 rows
 
     def prior(c: str) -> float:
         kind, size = ("a-z", 26) if c.islower() else ("A-Z", 26) if c.isupper() else ("0-9", 10) if c.isdigit() else ("+/", 2)
-        return PRIOR[kind] / size * PRIOR_SYMBOLS
+        share = ENGLISH[ord(c.lower()) - 97] / sum(ENGLISH) if c.isalpha() else 1 / size
+        return PRIOR[kind] * share * PRIOR_SYMBOLS
 
     total = sum(found.values()) + PRIOR_SYMBOLS
     return [math.log((found.get(c, 0) + prior(c)) / total) for c in BASE64]
@@ -113,18 +141,19 @@ def judge_tokens(values: DataFrame) -> DataFrame:
     ordinary tokens among the findings under FALSE_DISCOVERIES; p-values are rounded up to
     tenths of a decade, so the rule needs only a table of bands and tenths.
     """
-    tokens = store(values.select("value", _encoding(F.col("value")).alias("encoding")), "tokens")
+    passed = F.least("p_uniform", "p_runs", "p_serial") >= ALPHA / 3
+    tokens = battery(values.select("value", _encoding(F.col("value")).alias("encoding"))).select("value", "encoding", passed.alias("random"))
+    tokens = store(tokens, "tokens")
     shares = F.array(*[F.lit(x) for x in _log_shares(tokens)])
-    tested = battery(tokens.where("encoding is not null"))
+    tested = tokens.where("encoding is not null")
     plain = F.translate(F.rtrim(F.col("value"), F.lit("=")), "-_", "+/")
     plain = F.when(F.col("encoding") == "hex", F.lower(plain)).otherwise(plain)
     chars = F.filter(F.split(plain, ""), lambda c: c != "")
     ordinary = F.aggregate(chars, F.lit(0.0), lambda acc, c: acc + F.get(shares, F.position(c, F.lit(BASE64)) - 1))
-    size = F.when(F.col("encoding") == "hex", 16.0).when(F.col("encoding") == "base32", 32.0).otherwise(64.0)
+    size = _by_encoding({name: float(len(symbols)) for name, symbols in ENCODINGS.items()})
     decades = (-F.length(plain) * F.log(size) - ordinary) / math.log(10)
     band = sum(((F.length("value") >= b).cast("int") for b in BANDS[1:]), F.lit(0))
-    passed = F.least("p_uniform", "p_runs", "p_serial") >= ALPHA / 3
-    judged = tested.select("value", "encoding", passed.alias("random"), F.floor(F.least(F.greatest(decades, F.lit(0.0)), F.lit(300.0)) * 10).cast("int").alias("tenth"), band.alias("band"))
+    judged = tested.select("value", "encoding", "random", F.floor(F.least(F.greatest(decades, F.lit(0.0)), F.lit(300.0)) * 10).cast("int").alias("tenth"), band.alias("band"))
     judged = store(judged, "judged")
     table = judged.groupBy("band", "tenth").agg(F.count(F.lit(1)).alias("n"))
     down = Window.partitionBy("band").orderBy(F.desc("tenth"))

@@ -1,6 +1,7 @@
 """Text operators against brute force, with odd rows."""
 
 import hashlib
+import random
 import re
 from collections import Counter
 
@@ -233,3 +234,13 @@ def test_disclosing_terms_reach_whole_documents(spark):
     assert "<EMAIL> Zebedee" in clean
     terms = {r.id: [t.term for t in r.terms] for r in pii.disclosing_terms(docs).collect()}
     assert terms == {i: ["aurelio"] for i in range(3)}
+
+
+def test_secrets_of_narrow_alphabets(spark):
+    """Random tokens of lower-case letters and digits, of letters alone and of 62 symbols are found; plain words are not."""
+    rng = random.Random(7)
+    low, up, num = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    made = ["".join(rng.choice(a) for _ in range(100)) for a in (low + num, up + num, low + up, low + up + num, low) for _ in range(20)]
+    words = ["internationalisation-of-the-documents", "thisisaverylongordinarywordwithoutanyspaces", "counterrevolutionaries"]
+    got = {r.value for r in secrets.judge_tokens(spark.createDataFrame([(x,) for x in made + words], "value string")).collect()}
+    assert all(len(got & set(made[i : i + 20])) >= 18 for i in range(0, 100, 20)) and not got & set(words)
