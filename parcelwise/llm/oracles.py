@@ -63,4 +63,26 @@ SELECT page_id, payload_bytes,
 FROM d
 """
 
-ORACLE: dict[str, str] = {"op1_embedding_dedup": OP1, "op3_url_filters": OP3, "op10_warc_archives": OP10}
+OP13 = """
+WITH d AS (SELECT row_number() OVER () AS k, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+t AS (SELECT k, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term, count(*)::HUGEINT AS ln FROM t GROUP BY lang, term HAVING count(DISTINCT k) >= 10),
+g AS (SELECT DISTINCT lang, source FROM d),
+n AS (SELECT lang, source, term, count(*)::HUGEINT AS c FROM t GROUP BY ALL),
+cell AS (SELECT g.lang, g.source, kept.term, coalesce(n.c, 0)::HUGEINT AS c, kept.ln FROM g JOIN kept ON kept.lang = g.lang
+  LEFT JOIN n ON n.lang = g.lang AND n.source = g.source AND n.term = kept.term),
+v AS (SELECT lang, count(*)::HUGEINT AS v, sum(ln)::HUGEINT AS l FROM kept GROUP BY lang),
+tot AS (SELECT lang, source, sum(c)::HUGEINT AS total FROM cell GROUP BY lang, source),
+p AS (SELECT cell.lang, cell.source, cell.term, c, 1 + (1000000000 * (c + 2)) // (total + 2 * v) AS p, 1 + (1000000000 * (ln + 2)) // (l + 2 * v) AS q
+  FROM cell JOIN tot USING (lang, source) JOIN v ON v.lang = cell.lang),
+pair AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+every AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(pair.value, 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN pair ON pair.lang = a.lang AND pair.source = a.source AND pair.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, ((p - q) * (p - q) // (p + q))::BIGINT FROM p WHERE c > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank FROM every)
+SELECT lang, source, part, item, value, rank::INTEGER AS rank FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
+ORACLE: dict[str, str] = {"op1_embedding_dedup": OP1, "op3_url_filters": OP3, "op10_warc_archives": OP10, "op13_source_divergence": OP13}

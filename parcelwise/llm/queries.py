@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelwise.llm import bpe, embeddings, licenses, packing, pii, quality, secrets, simhash, urls, warc
+from parcelwise.llm import bpe, divergence, embeddings, licenses, mixing, packing, pii, quality, secrets, simhash, urls, variants, warc
 from parcelwise.llm.oracles import ORACLE  # noqa: F401 (a part of the registry)
 
 
@@ -61,6 +61,20 @@ def op10_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_cube_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.mix_sources(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = variants.document_words(table(spark, sf_dir, "documents"), noise=variants.NOISE)
+    return variants.spelling_variants(words)
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit_sources(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_pii_disclosure": op2_pii_disclosure,
@@ -72,4 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_scan": op8_secret_scan,
     "op9_simhash_dedup": op9_simhash_dedup,
     "op10_warc_archives": op10_warc_archives,
+    "op11_cube_mixing": op11_cube_mixing,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_source_divergence": op13_source_divergence,
 }
