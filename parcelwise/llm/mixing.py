@@ -14,6 +14,8 @@ WEIGHTS = (5, 2, 1)
 SHARE, CEILING, SEED = 1.5, 2.0, 42
 #: Units of one source that one task moves; the few it leaves open go on to the next round.
 BLOCK = 50_000
+#: Units of a source that wait for the landing, besides the two that the flight leaves open.
+LANDING = 12
 #: A probability this near to 0 or 1 is one of them.
 EPS = 1e-9
 
@@ -61,37 +63,42 @@ def flight(sizes: list[int], probs: list[float], keys: list[int]) -> list[float]
     return out
 
 
-def landing(sizes: list[int], probs: list[float], keys: list[int]) -> list[float]:
-    """Settles the one or two open units.
+def landing(sizes: list[int], probs: list[float]) -> list[float]:
+    """Settles the few open units at once: the subset nearest to their totals of words and documents.
 
-    Among all ways to draw them with their probabilities, the one with the smallest expected
-    squared error of the token total: a linear programme in the chance of taking both.
+    All subsets are looked at. An error of one document counts as much as a twentieth of the
+    mean size; of equally near subsets the first in binary order is taken.
     """
     open_ = [k for k, p in enumerate(probs) if 0.0 < p < 1.0]
     out = list(probs)
-    if len(open_) == 1:
-        k = open_[0]
-        out[k] = 1.0 if _uniform(keys[k], 0) < probs[k] else 0.0
-    elif open_:
-        a, b = open_
-        pa_, pb = probs[a], probs[b]
-        # Taking both costs more by 2 * size * size than the two alone, so the chance is as small as it can be.
-        both = max(0.0, pa_ + pb - 1) if sizes[a] * sizes[b] > 0 else min(pa_, pb)
-        u = _uniform(keys[a] ^ keys[b], 0)
-        out[a] = 1.0 if u < pa_ else 0.0
-        out[b] = 1.0 if u < both or pa_ <= u < pa_ + pb - both else 0.0
+    if open_:
+        z, p = np.array([sizes[k] for k in open_], float), np.array([probs[k] for k in open_])
+        subsets = (np.arange(1 << len(open_))[:, None] >> np.arange(len(open_))) & 1
+        off = subsets - p
+        best = int(np.argmin(np.abs(off @ z) / max(z.mean(), 1.0) + np.abs(off.sum(axis=1)) / 20))
+        for k, taken in zip(open_, subsets[best].tolist(), strict=True):
+            out[k] = float(taken)
     return out
 
 
+def settle_source(sizes: list[int], probs: list[float], keys: list[int]) -> list[float]:
+    """Flight and landing of one source. A few units, spread over all sizes, wait for the landing, so that it can close any gap."""
+    open_ = [k for k, p in enumerate(probs) if EPS < p < 1 - EPS]
+    wait = {open_[round(x)] for x in np.linspace(0, len(open_) - 1, min(LANDING, len(open_)))} if open_ else set()
+    go = [k for k in range(len(probs)) if k not in wait]
+    out = list(probs)
+    for k, p in zip(go, flight([sizes[k] for k in go], [probs[k] for k in go], [keys[k] for k in go]), strict=True):
+        out[k] = p
+    return landing(sizes, out)
+
+
 def _settle(last: bool):
     def run(table: pa.Table) -> pa.Table:
         size, prob, key = (table.column(c).to_numpy() for c in ("size", "prob", "key"))
         # Long documents first, so that what stays open at the end is short.
         order = np.lexsort((key, -size)).tolist()
         z, p, h = ([x[k].item() for k in order] for x in (size, prob, key))
-        p = flight(z, p, h)
-        if last:
-            p = landing(z, p, h)
+        p = settle_source(z, p, h) if last else flight(z, p, h)
         out = np.empty(len(order))
         out[order] = p
         return table.set_column(table.schema.get_field_index("prob"), "prob", pa.array(out))
@@ -147,7 +154,7 @@ def mix_sources(
     ``copies`` says how often the mix takes a document, never more than ``ceiling`` times. Each
     document of a source is expected ``target / source_size`` times; the whole part is sure, the
     rest is a probability that the cube method settles, balancing words and documents of each
-    source. ``size`` is any length column (words between the six ASCII white-space characters
+    source. The last units of a source (14 at most) are settled together by the best of all subsets. ``size`` is any length column (words between the six ASCII white-space characters
     without it); NULL texts have size 0, NULL sources are a source of their own, NULL ids and
     repeated rows are units like any other. A source without words takes nothing; an empty table
     gives an empty result; other columns are not read.
