@@ -63,9 +63,9 @@ def _tile(threshold: float):
         v = column.flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1).astype(np.float64)
         v = np.ldexp(v, -np.frexp(np.abs(v).max(axis=1, keepdims=True))[1])  # by a power of two: exact, and squares stay finite
         v /= np.linalg.norm(v, axis=1, keepdims=True)
-        i = block == table.column("i")[0].as_py()
-        same = bool(i.all())
-        x, y, ix, iy = v[i], v[i if same else ~i], ids[i], ids[i if same else ~i]
+        first, last = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+        same, i, j = first == last, block == first, block == last
+        x, y, ix, iy = v[i], v[j], ids[i], ids[j]
         nx, ny = np.zeros(len(x), np.int64), np.zeros(len(y), np.int64)
         a, b = np.array([], np.int64), np.array([], np.int64)
         for p, q in near_pairs(x, y, threshold, same):
@@ -94,34 +94,37 @@ def _tile(threshold: float):
 
 
 def embedding_links(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = THRESHOLD, tile: int = TILE) -> DataFrame:
-    """``(vec_id, n_links, component_id, kept)``, one row per distinct id.
+    """``(vec_id, n_links, component_id, kept)``, one row per row of ``vectors``.
 
     Links have a cosine of at least ``threshold`` in double precision. A vector that is
     NULL, empty, zero or holds a NULL or non-finite component links with nothing, and so do
-    vectors of different lengths. Rows that repeat an id count once, with the smallest of
-    their vectors that can link; a NULL id is a row that links with nothing. An empty table
-    gives an empty result; further columns are not read.
-
-    All rows are dealt to blocks of about ``tile`` components, and every pair of blocks of one
-    length is a task of bounded size. A task returns each linked vector once, with its count
-    and the smallest member of its group in the tile: groups of copies never give their pairs.
+    vectors of different lengths. Rows that repeat an id are vectors of their own, linked like
+    any other; a row with a NULL id is linked too but names no component (``component_id`` is
+    the smallest id of the component, NULL without any). An empty table gives an empty result;
+    further columns are not read.
+
+    All rows are numbered and dealt to blocks of about ``tile`` components, and every pair of
+    blocks of one length is a task of bounded size. A task returns each linked vector once, with
+    its count and the smallest member of its group in the tile: groups of copies never give their pairs.
     """
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("v"))
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    good = F.col("v").isNotNull() & ~bad & F.exists("v", lambda x: x != 0) & F.col("vec_id").isNotNull()
-    once = rows.groupBy("vec_id").agg(F.min(F.when(good, F.col("v"))).alias("v"))
-    once = store(once, "vectors")
-    fit = once.where("v is not null").withColumn("dim", F.size("v"))
+    good = F.col("v").isNotNull() & ~bad & F.exists("v", lambda x: x != 0)
+    rows = store(rows.select("vec_id", F.when(good, F.col("v")).alias("v"), F.monotonically_increasing_id().alias("row")), "vectors")
+    fit = rows.where("v is not null").withColumn("dim", F.size("v"))
     sizes = fit.groupBy("dim").agg(F.ceil(F.count(F.lit(1)) * F.first("dim") / tile).cast("int").alias("blocks"))
     sizes = store(sizes, "sizes")
-    placed = fit.join(sizes, "dim").withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int"))
+    placed = fit.join(sizes, "dim").withColumn("block", F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    copies = placed.select("dim", "vec_id", "v", "block", other.alias("other"))
-    tiles = copies.select("dim", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", F.col("vec_id").alias("id"), "v")
+    copies = placed.select("dim", "row", "v", "block", other.alias("other"))
+    tiles = copies.select("dim", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", F.col("row").alias("id"), "v")
     found = store(tiles.groupBy("dim", "i", "j").applyInArrow(_tile(threshold), "id long, n long, hub long"), "tiles")
     counts = found.groupBy("id").agg(F.sum("n").alias("n_links"))
     root = components(found.select(F.col("id").alias("a"), F.col("hub").alias("b")))
-    named = once.select("vec_id").join(counts.withColumnRenamed("id", "vec_id"), "vec_id", "left").join(root.withColumnRenamed("node", "vec_id"), "vec_id", "left")
-    component = F.coalesce("component", "vec_id")
-    return named.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.col("vec_id").eqNullSafe(component).alias("kept"))
-
+    linked = rows.select("vec_id", "row").join(root.withColumnRenamed("node", "row"), "row")
+    names = linked.groupBy("component").agg(F.min("vec_id").alias("name"))
+    linked = store(linked.select("row", "component").join(names, "component").select("row", "name"), "named")
+    named = rows.select("vec_id", "row").join(counts.withColumnRenamed("id", "row"), "row", "left").join(linked.withColumn("in", F.lit(True)), "row", "left")
+    component = F.when(F.col("in"), F.col("name")).otherwise(F.col("vec_id"))
+    out = named.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"))
+    return out.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))

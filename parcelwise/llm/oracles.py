@@ -5,18 +5,17 @@ from __future__ import annotations
 from parcelwise.llm.urls import RULES
 
 OP1 = """
-WITH RECURSIVE fit AS (
-  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
-  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+WITH RECURSIVE v AS (SELECT row_number() OVER () AS r, vec_id, embedding FROM embeddings),
+fit AS (SELECT r, embedding::DOUBLE[] AS e FROM v WHERE embedding IS NOT NULL AND len(embedding) > 0
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
-pair AS (SELECT a.vec_id AS x, b.vec_id AS y FROM fit a JOIN fit b ON a.vec_id < b.vec_id AND len(a.e) = len(b.e)
+pair AS (SELECT a.r AS x, b.r AS y FROM fit a JOIN fit b ON a.r < b.r AND len(a.e) = len(b.e)
   WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
 link AS (SELECT x, y FROM pair UNION ALL SELECT y, x FROM pair),
-reach(id, far) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.id, l.y FROM reach r JOIN link l ON r.far = l.x),
-low AS (SELECT id, min(far) AS component_id FROM reach GROUP BY id),
+reach(id, far) AS (SELECT r, r FROM v UNION SELECT r.id, l.y FROM reach r JOIN link l ON r.far = l.x),
+low AS (SELECT id, min(vec_id) AS component_id FROM reach JOIN v ON v.r = reach.far GROUP BY id),
 n AS (SELECT x, count(*) AS n_links FROM link GROUP BY x)
-SELECT DISTINCT v.vec_id, coalesce(n.n_links, 0)::BIGINT AS n_links, low.component_id, v.vec_id = low.component_id AS kept
-FROM embeddings v JOIN low ON low.id = v.vec_id LEFT JOIN n ON n.x = v.vec_id
+SELECT v.vec_id, coalesce(n.n_links, 0)::BIGINT AS n_links, low.component_id, v.vec_id IS NOT DISTINCT FROM low.component_id AS kept
+FROM v JOIN low ON low.id = v.r LEFT JOIN n ON n.x = v.r
 """
 
 

@@ -47,16 +47,17 @@ def fingerprint(data: bytes | None, size: int = SHINGLE) -> int:
     return int(bits.view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE) -> DataFrame:
-    """``(doc_id, fp)`` of every row; a NULL text has no words."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, key: bool = False) -> DataFrame:
+    """``(doc_id, fp)`` of every row, with ``key`` also the text's key; a NULL text has no words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = [fingerprint(x.as_py(), size) for x in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], ["doc_id", "fp"])
+            fps = [fingerprint(x.as_py(), size) for x in batch.column(0)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(fps, pa.int64())], [*batch.schema.names[1:], "fp"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    keys = [text_key(F.col(text_col)).alias("key")] if key else []
+    rows = docs.select(F.col(text_col).cast("binary").alias("text"), F.col(id_col).cast("long").alias("doc_id"), *keys)
+    return rows.mapInArrow(run, f"doc_id long, {'key string, ' if key else ''}fp long")
 
 
 def segment_counts(fp: Column) -> Column:
@@ -219,6 +220,32 @@ def fingerprint_links(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
     return edges.union(tiles.groupBy("grid", "cell", "i", "j").applyInArrow(_join_tile(distance), "a long, b long"))
 
 
+def text_key(text: Column) -> Column:
+    """A hash that tells texts apart; NULL is an empty text."""
+    return F.md5(F.coalesce(text.cast("string"), F.lit("")).cast("binary"))
+
+
+def _placed(fps: DataFrame, distance: int) -> DataFrame:
+    """``(fp, root)`` for the distinct fingerprints ``fp``: the smallest fingerprint that links reach."""
+    root = components(fingerprint_links(fps, distance)).withColumnRenamed("node", "fp")
+    return store(fps.join(root, "fp", "left").select("fp", F.coalesce("component", "fp").alias("root")), "placed")
+
+
+def place_in_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
+    """``(doc_id, key, n, kept)``: one row per distinct id and text, with the number of its rows.
+
+    ``kept`` marks the first of each component: the smallest id (NULL last), then the smallest
+    key of the text. An empty table gives an empty result.
+    """
+    prints = fingerprints(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), size=size, key=True)
+    rows = store(prints.groupBy("doc_id", "key", "fp").agg(F.count(F.lit(1)).alias("n")), "rows")
+    root = _placed(rows.select("fp").distinct(), distance)
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
+    rows = store(rows.join(root, "fp").select("doc_id", "key", "n", "root"), "rows")
+    winners = rows.groupBy("root").agg(F.min(first).alias("first"))
+    return store(rows.join(winners, "root").select("doc_id", "key", "n", (F.col("first") == first).alias("kept")), "places")
+
+
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """``(doc_id, fp, component_id, class_size)`` of every row of ``docs``.
 
@@ -229,10 +256,7 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     rows = store(fingerprints(docs, id_col, text_col, size), "fingerprints")
     classes = store(rows.groupBy("fp").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("n")), "classes")
-    root = components(fingerprint_links(classes.select("fp"), distance))
-    placed = store(
-        classes.join(root.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "low", "n", F.coalesce("component", "fp").alias("root")), "placed"
-    )
+    placed = classes.join(_placed(classes.select("fp"), distance), "fp")
     named = store(placed.groupBy("root").agg(F.min("low").alias("component_id"), F.sum("n").alias("class_size")), "named")
     of = store(placed.join(named, "root").select("fp", "component_id", "class_size"), "of")
     return rows.join(of, "fp").select("doc_id", "fp", "component_id", "class_size")

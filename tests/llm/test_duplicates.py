@@ -132,17 +132,26 @@ def test_embedding_links_equal_brute_force(spark):
     rows = [v.tolist() for v in np.concatenate([base, base[:20] + rng.normal(size=(20, 16)) * 0.15, base[:3], base[:2] * 7])]
     odd = [None, [], [0.0] * 16, [float("nan")] * 16, [None] + [1.0] * 15, [float("inf")] * 16, [1.0] * 3, [2.0] * 3, [1e-200] * 16, [1e200] * 16]
     every = list(enumerate(rows + odd))
-    table = spark.createDataFrame([(i, v, 0) for i, v in every] + [(0, rows[0], 1), (None, rows[0], 1)], "vec_id long, embedding array<double>, n int")
+    table = spark.createDataFrame([(i, v, 0) for i, v in every], "vec_id long, embedding array<double>, n int")
     good = {i: np.array(v) / np.abs(v).max() for i, v in every if v and None not in v and np.isfinite(v).all() and any(v)}
     links = [(a, b) for a in good for b in good if a < b and len(good[a]) == len(good[b]) and good[a] @ good[b] / np.linalg.norm(good[a]) / np.linalg.norm(good[b]) >= 0.9]
     want = grouped([i for i, _ in every], links)
     for tile in (1 << 20, 200):
         got = {r.vec_id: r for r in embeddings.embedding_links(table, tile=tile).collect()}
-        assert len(got) == len(every) + 1 and got[None].n_links == 0
+        assert len(got) == len(every)
         for i, _ in every:
             assert got[i].component_id == want[i] and got[i].n_links == sum(i in e for e in links) and got[i].kept == (want[i] == i)
 
 
+def test_repeated_and_missing_vector_ids_are_rows_of_their_own(spark):
+    rows = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [0.0, 1.0]), (3, [1.0, 0.0]), (None, [-1.0, 0.0]), (None, [-1.0, 0.0]), (None, [-1.0, 0.0]), (9, [-1.0, -1.0]), (9, None)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    want = [(1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 1, 1, False), (9, 0, 9, True), (9, 0, 9, True)] + [(None, 2, None, True)] * 3
+    for tile in (1 << 20, 4):
+        got = [tuple(r) for r in embeddings.embedding_links(table, tile=tile).collect()]
+        assert sorted(got, key=str) == sorted(want, key=str)
+
+
 def test_quantisation_never_loses_a_pair():
     rng = np.random.default_rng(7)
     x = rng.normal(size=(300, 24))

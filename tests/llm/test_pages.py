@@ -152,9 +152,19 @@ def test_pipeline_stages(spark, tmp_path):
     assert good.columns == once.columns == clean.columns == docs.columns
     assert {101, 102, 103}.isdisjoint(r.doc_id for r in good.collect()) and good.count() == 33
     kept = sorted((r.doc_id is None, r.doc_id) for r in once.collect())
-    assert kept == [(False, i) for i in range(30)] + [(True, None)]
+    assert kept == [(False, i) for i in range(30)]  # the row without an id repeats text 4
     for r in clean.collect():
         assert "@" not in r.text and "<EMAIL>" in r.text and r.n_chars == len(r.text)
     assert sum(r.n_tokens for r in packed.collect()) == sum(len(r.text.split()) for r in clean.collect())
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == packed.count()
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "simhash_dedup", "pii_disclosure", "best_fit_packing"]
+
+
+def test_near_duplicate_stage_keeps_other_texts_of_a_shared_id(spark):
+    a, b = "one two three four five six seven eight nine ten", "nothing like the other text at all in any of its words"
+    rows = [(1, a, 1, "x"), (7, a, 2, "x"), (7, b, 3, "x"), (7, b, 3, "x"), (None, b, 4, "x"), (None, "alone " * 9, 5, "x"), (None, "alone " * 9, 5, "x"), (8, None, 6, "x"), (9, "", 7, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _again int, key string")
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    assert kept.columns == docs.columns
+    assert sorted((r["doc_id"] or -1, r["_again"]) for r in kept.collect()) == [(-1, 5), (1, 1), (7, 3), (8, 6)]
+    assert corpus_pipeline.drop_near_duplicates(spark, docs.limit(0), "").collect() == []
