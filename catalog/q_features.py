@@ -10,7 +10,10 @@ from catalog.sql import SERVICES, feature_list, r, with_ctes
 from parcelwise.functions import columns as C
 from parcelwise.operators import features as X
 from parcelwise.operators import rollup as R
+from parcelwise.functions.lineage import scratch_path
+from parcelwise.plans import refresh as RF
 from parcelwise.plans import windows as P
+from parcelwise.sources import tables as T
 from parcelwise.schemas import PIVOT_METRICS, SERVICE_COLUMNS, WINDOW_KEYS
 
 KEYS = "cms_code_enc, window_size::BIGINT AS window_size, window_start, window_end"
@@ -169,6 +172,26 @@ def q_chunked_refresh(i: Inputs):
     return tidy(P.chunk_plan(plan, 2, 2, done))
 
 
+def q_refresh_run(i: Inputs):
+    """All months in two refreshes, the second one two months later: per window what is stored, and the second plan."""
+    shipments, root = scratch_path(i.spark, "shipments"), scratch_path(i.spark, "refreshed")
+    T.write_month_partitions(i.shipments, shipments, "sending_time")
+    stored = i.spark.read.parquet(shipments)
+    first, early, last = i.shipments.agg(
+        F.trunc(F.min("sending_time"), "MM").cast("string"), F.last_day(F.add_months(F.max("sending_time"), -2)).cast("string"), F.last_day(F.max("sending_time")).cast("string")
+    ).first()
+    RF.run_refresh(i.spark, root, stored, i.complaints, start=first, end=early, sizes=SIZES)
+    plan = RF.run_refresh(i.spark, root, stored, i.complaints, start=first, end=last, sizes=SIZES)
+    windows = T.read_windows(i.spark, f"{root}/windows").groupBy("window_size", "window_end").agg(
+        F.count(F.lit(1)).alias("customers"), F.sum("item_sum").alias("items"), F.sum("revenue_sum").alias("revenue"),
+        F.sum("active_days").alias("days"), F.sum("complaint_diversity").alias("codes"),
+    )
+    asof = RF.read_asof(i.spark, root).groupBy(F.date_format("lifetime_asof_date", "yyMM").alias("window_end")).agg(
+        F.count(F.lit(1)).alias("known"), F.sum("lifetime_total_items").alias("all_items"), F.sum("lifetime_months_active").alias("months_active")
+    )
+    return tidy(plan.join(windows, ["window_size", "window_end"], "left").join(asof, "window_end", "left"))
+
+
 def q_observation_month(i: Inputs):
     return tidy(P.observation_month(i.shipments))
 
@@ -208,6 +231,7 @@ QUERIES = {
     "valid_training_ends": q_valid_training_ends,
     "refresh_plan": q_refresh_plan,
     "refresh_counts": q_refresh_counts,
+    "refresh_run": q_refresh_run,
     "chunked_refresh": q_chunked_refresh,
     "observation_month": q_observation_month,
     "scan_months": q_scan_months,
@@ -392,6 +416,16 @@ UNION ALL SELECT 'size', NULL, unnest(generate_series(3, least(12, greatest(1, (
     "refresh_counts": with_ctes(
         f""", {_EXISTING} SELECT count(*) AS total_possible, count(*) FILTER (action <> 'keep') AS to_compute, count(*) FILTER (action = 'recompute') AS recomputed,
   count(*) FILTER (action = 'new') AS new_tables, count(*) FILTER (action = 'keep') AS kept_tables FROM plan""", "specs", "rows_w"),
+    "refresh_run": with_ctes(
+        f"""SELECT w.window_size::BIGINT AS window_size, w.window_start, w.window_end, CASE WHEN w.end_idx > b.high - 2 THEN 'new' WHEN w.end_idx > b.high - 4 THEN 'recompute' ELSE 'keep' END AS action,
+  x.customers, x.items, x.revenue, x.days, z.codes, a.known, a.all_items, a.months_active
+FROM span w CROSS JOIN (SELECT max(end_idx) AS high FROM span) b
+JOIN (SELECT window_size, window_end, count(DISTINCT cms_code_enc) AS customers, count(*) AS items, sum(total_fee)::BIGINT AS revenue, count(DISTINCT (cms_code_enc, sending_time::DATE)) AS days
+  FROM span JOIN shipments s ON s.sending_time >= start_date AND s.sending_time <= end_date GROUP BY ALL) x ON x.window_size = w.window_size AND x.window_end = w.window_end
+LEFT JOIN (SELECT window_size, window_end, count(*) AS codes FROM (SELECT DISTINCT window_size, window_end, c.cms_code_enc, complaint_code FROM span JOIN complaints c ON create_complaint_date >= start_date AND create_complaint_date <= end_date
+    JOIN shipments s ON s.cms_code_enc = c.cms_code_enc AND s.sending_time >= start_date AND s.sending_time <= end_date) GROUP BY ALL) z ON z.window_size = w.window_size AND z.window_end = w.window_end
+LEFT JOIN (SELECT window_end, count(DISTINCT cms_code_enc) AS known, sum(item_count)::BIGINT AS all_items, count(*) AS months_active FROM (SELECT DISTINCT window_end, end_date FROM span) e
+  JOIN cm ON cm.report_month <= e.end_date GROUP BY ALL) a ON a.window_end = w.window_end""", "cm", "complaints", "span"),
     "chunked_refresh": with_ctes(
         f""", {_EXISTING}, todo AS (SELECT * FROM plan WHERE action <> 'keep'), done AS ({_CHUNK.format(src='specs')})
 SELECT * FROM ({_CHUNK.format(src='todo')}) WHERE chunk_id NOT IN (SELECT chunk_id FROM done WHERE month_group = 0 AND size_group = 0)""", "specs", "rows_w"),

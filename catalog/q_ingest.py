@@ -8,6 +8,8 @@ from catalog.inputs import Inputs, tidy
 from catalog.sql import r, with_ctes
 from parcelwise.functions.lineage import scratch_path
 from parcelwise.schemas import HEADERS
+from parcelwise.plans import ingest as IN
+from parcelwise.sources import adapters as A
 from parcelwise.sources import landing as L
 from parcelwise.sources import tables as T
 
@@ -138,7 +140,53 @@ def q_load_confirmed(i: Inputs):
     return tidy(L.parse_confirmed(rows, loaded))
 
 
+def complaint_lines(i: Inputs, resent: bool):
+    """The orders of each month as an archive with two members of complaint records.
+
+    Months are numbers YYMM: the smallest one's archive is broken at first, the largest one is sent again
+    without a third of its rows. The newest month has a wrong header, every eleventh order a cell too many.
+    """
+    head = HEADERS["cms_complaint"]
+    k, yymm = col("o_orderkey"), F.date_format("o_orderdate", "yyMM")
+    months = i.table("orders").agg(F.min(yymm).alias("_first"), F.max(yymm).alias("_last"), F.max_by(yymm, "o_orderdate").alias("_wrong"))
+    orders = i.table("orders").join(F.broadcast(months), F.lit(True))
+    first, last = yymm == col("_first"), yymm == col("_last")
+    orders = orders.filter(last & (k % 3 != 0) | first) if resent else orders.filter(~first)
+    cells = [F.concat(F.lit("C"), col("o_custkey").cast("string")), F.lit("N/A"), F.date_format("o_orderdate", "dd/MM/yyyy"), F.lit(""), F.lit(""), F.lit("f"), k.cast("string"),
+             F.concat(F.lit('"=late; '), "o_orderpriority", F.lit('"')), F.lit("1"), F.lit(""), F.when(k % 11 == 0, ";").otherwise("")]
+    member = F.concat(F.lit("cms_complaint_"), yymm, F.when(k % 2 == 0, "_a.csv").otherwise("_b.csv"))
+    lines = orders.select(F.concat(F.lit("cms_complaint_"), yymm, F.lit(".zip")).alias("archive"), member.alias("member"), k.cast("bigint").alias("line_no"), F.concat_ws(";", *cells).alias("line"),
+                          (yymm == col("_wrong")).alias("wrong"))
+    header = F.when(col("wrong"), F.lit(";".join(head[:-1]))).otherwise(F.lit(";".join(head)))
+    heads = lines.groupBy("archive", "member", "wrong").agg(F.lit(-1).cast("bigint").alias("line_no")).withColumn("line", header)
+    return lines.drop("wrong").unionByName(heads.drop("wrong"))
+
+
+def q_ingest_run(i: Inputs):
+    """Three runs over a landing folder: all months, a corrected and a re-sent one, and one with nothing new."""
+    landing, root = scratch_path(i.spark, "landing"), scratch_path(i.spark, "ingested")
+    A.write_archives(complaint_lines(i, resent=False), landing)
+    first = i.table("orders").agg(F.min(F.date_format("o_orderdate", "yyMM")).alias("m"))
+    broken = first.select(F.concat(F.lit("cms_complaint_"), "m", F.lit(".zip")).alias("archive"))
+    A.write_broken(broken, landing)
+    IN.run_ingest(i.spark, landing, root)
+    A.write_archives(complaint_lines(i, resent=True), landing)
+    IN.run_ingest(i.spark, landing, root)
+    IN.run_ingest(i.spark, landing, root)
+    rows = IN.read_ingested(i.spark, root, "cms_complaint")
+    loaded = rows.groupBy("period").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("complaint_code").alias("codes"), F.countDistinct("cms_code_enc").alias("customers"),
+        F.count_if(col("complaint_content").startswith("'=late; ")).alias("guarded"), F.min("create_complaint_date").alias("first_date"),
+    )
+    n = lambda s: F.count_if(col("status") == s)
+    runs = IN.read_log(i.spark, root).groupBy(col("period_key").cast("int").alias("period")).agg(
+        n("success").alias("successes"), n("failed").alias("failures"), F.sum("rows").alias("logged"), F.sum("rejected").alias("rejected")
+    )
+    return tidy(runs.join(loaded, "period", "left"))
+
+
 QUERIES = {
+    "ingest_run": q_ingest_run,
     "typed_shipments": q_typed_shipments,
     "typed_customer_month": q_typed_customer_month,
     "typed_customer_info": q_typed_customer_info,
@@ -164,6 +212,18 @@ log AS (SELECT * FROM (SELECT name AS zip_name, h AS finished_at, CASE WHEN h %
   FROM (SELECT *, ascii(substr(md5(name), 1, 1)) AS h FROM files)) WHERE finished_at % 5 <> 0)"""
 
 ORACLE = {
+    "ingest_run": """WITH o AS (SELECT *, strftime(o_orderdate, '%y%m') AS m, ('20' || strftime(o_orderdate, '%y%m'))::BIGINT AS period, o_orderkey % 11 = 0 AS bad FROM orders),
+b AS (SELECT min(m) AS first, max(m) AS last, max_by(m, o_orderdate) AS wrong FROM o),
+f AS (SELECT o.*, m = first AS broken, m = wrong AS wrong, m = last AS again, o_orderkey % 3 <> 0 AS stays FROM o, b),
+sent AS (SELECT period, bool_or(wrong) AS wrong, bool_or(broken) AS broken, bool_or(again) AS again, count(DISTINCT o_orderkey % 2) AS members, count(*) AS n,
+  count(*) FILTER (NOT bad) AS good, count(*) FILTER (bad) AS bad, count(*) FILTER (NOT bad AND stays) AS good2, count(*) FILTER (bad AND stays) AS bad2 FROM f GROUP BY period),
+loaded AS (SELECT period, count(*) AS n_rows, sum(o_orderkey)::BIGINT AS codes, count(DISTINCT o_custkey) AS customers, count(*) AS guarded, strftime(min(o_orderdate), '%Y-%m-%d 00:00:00') AS first_date
+  FROM f WHERE NOT bad AND NOT wrong AND (NOT again OR stays) GROUP BY period)
+SELECT sent.period, (CASE WHEN wrong THEN 0 WHEN again THEN 2 ELSE 1 END)::BIGINT AS successes, (CASE WHEN wrong THEN 3 WHEN broken THEN 1 ELSE 0 END)::BIGINT AS failures,
+  (CASE WHEN wrong THEN 0 WHEN again THEN good + good2 ELSE good END)::BIGINT AS logged,
+  (CASE WHEN wrong THEN 3 * (n + members) WHEN again THEN bad + bad2 WHEN broken THEN bad + 1 ELSE bad END)::BIGINT AS rejected,
+  n_rows, codes, customers, guarded, first_date
+FROM sent LEFT JOIN loaded ON loaded.period = sent.period""",
     "check_csv_rows": "SELECT o_orderkey::BIGINT AS o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN 'ragged' ELSE 'good' END AS kind FROM orders",
     "scan_months_stored": """SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d 00:00:00') AS o_orderdate, (year(o_orderdate) % 100 * 100 + month(o_orderdate))::BIGINT AS yymm
 FROM orders WHERE o_orderdate >= '1999-11-01' AND o_orderdate < '2000-03-01'""",

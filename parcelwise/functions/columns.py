@@ -56,9 +56,13 @@ def normalize_datetime(c: Column) -> Column:
     year-first reading wins when it is a real date. Two-digit years 69..99 belong
     to 19xx. A fraction of a second is only read after ``yyyy-m-d`` and dropped.
     """
-    t = _strip(c)
-    a, sep, b, z, hour, minute, second, fraction = (F.regexp_extract(t, DATE_SHAPE, i) for i in range(1, 9))
+    fields = ["a", "sep", "b", "z", "hour", "minute", "second", "fraction"]
+    shape = F.struct(*[F.regexp_extract(_strip(c), DATE_SHAPE, i).alias(f) for i, f in enumerate(fields, 1)])
+    # One bound value: every field is matched once, and the code of a wide table stays small.
+    return F.get(F.transform(F.array(shape), lambda p: _stamp(*[p[f] for f in fields])), F.lit(0))
+
 
+def _stamp(a: Column, sep: Column, b: Column, z: Column, hour: Column, minute: Column, second: Column, fraction: Column) -> Column:
     def stamp(year: Column, month: Column, day: Column) -> Column:
         time = [F.coalesce(x.try_cast("int"), F.lit(0)) for x in (hour, minute, second)]
         day = F.when(F.length(day) <= 2, day.try_cast("int"))

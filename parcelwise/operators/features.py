@@ -418,32 +418,44 @@ def latest_info(info: DataFrame) -> DataFrame:
 def lifetime_shipments(shipments: DataFrame, start: str, end: str | None = None) -> DataFrame:
     """Active days, share of shipments with a complaint and usual destination per customer.
 
-    Days are counted through monthly bit sets, so no distinct shuffle is needed.
-    The smallest code wins when destinations tie.
+    One scan: every shipment counts for its month and for each of its places, in one
+    aggregate that combines map-side; days are monthly bit sets. The smallest code wins when
+    destinations tie, and no task holds the places of a customer.
     """
     scope = shipments.filter(F.col("sending_time") >= F.lit(start).cast("timestamp_ntz"))
     if end is not None:
         scope = date_range(scope, "sending_time", start, end)
-    days = (
-        scope.groupBy(CUSTOMER, F.trunc("sending_time", "MM").alias("_m"))
-        .agg(
-            F.bit_or(F.expr("shiftleft(1L, dayofmonth(sending_time) - 1)")).alias("_days"),
-            F.count(F.when(F.col("total_complaint") > 0, 1)).alias("_with"),
-            F.count(F.lit(1)).alias("_all"),
-        )
-        .groupBy(CUSTOMER)
-        .agg(
-            F.sum(F.bit_count("_days")).cast("int").alias("lifetime_days_active"),
-            C.safe_ratio(F.sum("_with"), F.sum("_all")).alias("lifetime_pct_complaint_per_item"),
-        )
+    none = F.lit(None)
+    month = C.month_index(F.col("sending_time")).cast("bigint")
+    day = F.expr("shiftleft(1L, dayofmonth(sending_time) - 1)")
+    complaint = F.when(F.col("total_complaint") > 0, 1).otherwise(0).cast("bigint")
+
+    def part(kind: int, code: Column, name: Column, days: Column, hit: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), code.cast("bigint").alias("code"), name.cast("string").alias("name"), days.cast("bigint").alias("days"), hit.cast("bigint").alias("hit"))
+
+    codes = [f"rec_{p}_code" for p in ("province", "district", "commune")]
+    parts = [part(0, month, none, day, complaint)]
+    parts += [part(k, F.col(c), none, none, none) for k, c in enumerate(codes, 1)]
+    parts += [part(4, none, F.col("region"), none, none)]
+    counted = (
+        scope.select(CUSTOMER, F.explode(F.array(*parts)).alias("p"))
+        .groupBy(CUSTOMER, "p.kind", "p.code", "p.name")
+        .agg(F.bit_or("p.days").alias("days"), F.sum("p.hit").alias("hit"), F.count(F.lit(1)).alias("n"))
     )
-    places = scope.groupBy(CUSTOMER).agg(
-        F.mode("rec_province_code", True).cast("bigint").alias("most_common_rec_province"),
-        F.mode("rec_district_code", True).cast("bigint").alias("most_common_rec_district"),
-        F.mode("rec_commune_code", True).cast("bigint").alias("most_common_rec_commune"),
-        F.mode("region", True).alias("most_common_region"),
+    kind = F.col("kind")
+
+    def usual(k: int, value: str) -> Column:
+        # The most frequent value, then the smallest.
+        return F.min(F.when((kind == k) & F.col(value).isNotNull(), F.struct((-F.col("n")).alias("n"), F.col(value).alias("v"))))["v"]
+
+    return counted.groupBy(CUSTOMER).agg(
+        F.sum(F.when(kind == 0, F.bit_count("days"))).cast("int").alias("lifetime_days_active"),
+        C.safe_ratio(F.sum(F.when(kind == 0, F.col("hit"))), F.sum(F.when(kind == 0, F.col("n")))).alias("lifetime_pct_complaint_per_item"),
+        usual(1, "code").alias("most_common_rec_province"),
+        usual(2, "code").alias("most_common_rec_district"),
+        usual(3, "code").alias("most_common_rec_commune"),
+        usual(4, "name").alias("most_common_region"),
     )
-    return days.join(places, CUSTOMER)
 
 
 def customer_lifetime(

@@ -84,9 +84,11 @@ def refresh_plan(existing: DataFrame, specs: DataFrame, last_n: int) -> DataFram
     """keep / recompute / new per window.
 
     ``existing`` has ``window_size, window_end, row_count``. The newest ``last_n``
-    existing windows of each size and the empty ones are computed again.
+    existing windows of each size and the empty ones are computed again. With a column
+    ``end_idx`` the calendar tells which are newest, without it their names do.
     """
-    newest = Window.partitionBy("window_size").orderBy(F.col("window_end").desc())
+    latest = F.col("end_idx" if "end_idx" in existing.columns else "window_end")
+    newest = Window.partitionBy("window_size").orderBy(latest.desc())
     known = existing.select(
         "window_size",
         "window_end",

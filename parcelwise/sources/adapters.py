@@ -5,6 +5,11 @@ Only used by the query catalogue, the benchmark and the tests.
 
 from __future__ import annotations
 
+import uuid
+import zipfile
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -100,3 +105,56 @@ def confirmed(spark: SparkSession, sf_dir: str) -> DataFrame:
         .filter("c_custkey % 29 = 0")
         .select(customer_code("c_custkey").alias("cms_code_enc"), F.lit(1).alias("file_month"), F.lit(1).alias("file_year"))
     )
+
+
+def write_archives(rows: DataFrame, landing: str, sep: str = ";") -> None:
+    """Zip archives from ``rows(archive, member, line)``, in the order of ``line_no`` inside a member.
+
+    One task streams an archive; it appears under its name when it is whole.
+    """
+
+    def run(batches):
+        target, at, name, part, raw, zipped, data = None, None, None, None, None, None, None
+        system, folder = fs.FileSystem.from_uri(landing)
+        system.create_dir(folder, recursive=True)
+
+        def close():
+            data.close()
+            zipped.close()
+            raw.close()
+            system.move(part, target)
+
+        for batch in batches:
+            for archive, member, line in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+                if archive != name:
+                    if name is not None:
+                        close()
+                    name, at = archive, None
+                    target, part = f"{folder}/{archive}", f"{folder}/_{uuid.uuid4().hex}"
+                    raw = system.open_output_stream(part)
+                    zipped = zipfile.ZipFile(raw, "w", zipfile.ZIP_DEFLATED)
+                if member != at:
+                    if at is not None:
+                        data.close()
+                    at, data = member, zipped.open(member, "w")
+                data.write((line + "\n").encode())
+            yield pa.RecordBatch.from_arrays([pa.array([], pa.string())], ["archive"])
+        if name is not None:
+            close()
+
+    ordered = rows.repartition("archive").sortWithinPartitions("archive", "member", "line_no").select("archive", "member", "line")
+    ordered.mapInArrow(run, "archive string").write.format("noop").mode("overwrite").save()
+
+
+def write_broken(names: DataFrame, landing: str) -> None:
+    """Files ``names(archive)`` that are no archives."""
+
+    def run(batches):
+        system, folder = fs.FileSystem.from_uri(landing)
+        for batch in batches:
+            for name in batch.column(0).to_pylist():
+                with system.open_output_stream(f"{folder}/{name}") as out:
+                    out.write(b"no archive")
+            yield batch
+
+    names.select("archive").mapInArrow(run, "archive string").write.format("noop").mode("overwrite").save()

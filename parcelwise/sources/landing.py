@@ -48,7 +48,7 @@ def renamed_columns(df: DataFrame, base: str) -> list[tuple[int, str, str]]:
     return [(i, got, want) for i, (got, want) in enumerate(zip(df.columns, HEADERS[base])) if got != want]
 
 
-def _typed(df: DataFrame, base: str, fallback: dict[str, list[str]] | None = None) -> DataFrame:
+def _typed(df: DataFrame, base: str, fallback: dict[str, list[str]] | None = None, keep: Sequence[str] = ()) -> DataFrame:
     build = {
         "s": C.clean_string,
         "i": C.to_int,
@@ -63,23 +63,23 @@ def _typed(df: DataFrame, base: str, fallback: dict[str, list[str]] | None = Non
         picked = [F.when(F.col(c) != "", F.col(c)) for c in sources[:-1]] + [F.col(c) for c in sources[-1:]]
         raw = F.coalesce(*picked) if picked else F.lit(None).cast("string")
         cols.append(build[kind](raw).alias(name))
-    return df.select(*cols)
+    return df.select(*keep, *cols)
 
 
-def typed_shipments(df: DataFrame) -> DataFrame:
-    return _typed(df, "bccp_orderitem", {"item_code": ["item_code_enc", "item_code"]})
+def typed_shipments(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    return _typed(df, "bccp_orderitem", {"item_code": ["item_code_enc", "item_code"]}, keep)
 
 
-def typed_customer_month(df: DataFrame) -> DataFrame:
-    return _typed(df, "cas_customer")
+def typed_customer_month(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    return _typed(df, "cas_customer", keep=keep)
 
 
-def typed_customer_info(df: DataFrame) -> DataFrame:
-    return _typed(df, "cas_info")
+def typed_customer_info(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    return _typed(df, "cas_info", keep=keep)
 
 
-def typed_complaints(df: DataFrame) -> DataFrame:
-    return _typed(df, "cms_complaint", {"item_code": ["item_code", "item_code_enc"]})
+def typed_complaints(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    return _typed(df, "cms_complaint", {"item_code": ["item_code", "item_code_enc"]}, keep)
 
 
 TRANSFORMS = {
@@ -241,33 +241,60 @@ ARCHIVE_ROWS = "archive string, member string, row_no bigint, cells array<string
 
 
 def extract_archives(spark: SparkSession, path: str, *, sep: str = ";") -> DataFrame:
-    """CSV records of all members of all archives: ``archive, member, row_no, cells, error``.
+    """CSV records of all archives of a folder; see :func:`read_archives`."""
+    return read_archives(list_files(spark, path), sep=sep)
 
-    Only the paths are listed; a task opens its archive where it lies and streams the
-    members, so neither an archive nor a member is held in memory. Quoted line breaks stay
-    inside their cell. What cannot be read (a broken archive, bytes that are no UTF-8)
-    becomes a row with ``error`` after the rows read before it.
+
+def read_archives(files: DataFrame, *, sep: str = ";") -> DataFrame:
+    """CSV records of all members of the archives ``files(path)``: ``archive, member, row_no, cells, error``.
+
+    Only paths are shuffled. One step reads the directory of each archive, the next one streams
+    every member where it lies, so members of one large archive are read by several tasks and
+    neither an archive nor a member is held in memory. Quoted line breaks stay inside their cell.
+    What cannot be read (a broken archive, bytes that are no UTF-8) becomes a row with ``error``
+    after the rows read before it. An archive without CSV members has one row without a member.
     """
-    files = list_files(spark, path).select("path")
-    return files.repartition("path").mapInPandas(lambda batches: _unzip(batches, sep), ARCHIVE_ROWS)
+    members = files.select("path").repartition("path").mapInPandas(_members, "path string, member string, error string")
+    return members.repartition("path", "member").mapInPandas(lambda batches: _unzip(batches, sep), ARCHIVE_ROWS)
+
+
+_READ_ERRORS = (zipfile.BadZipFile, OSError, RuntimeError, NotImplementedError, ValueError, csv.Error)
+
+
+def _open(path: str):
+    system, place = fs.FileSystem.from_uri(path)
+    return system.open_input_file(place)
+
+
+def _members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        for path in pdf["path"]:
+            try:
+                with _open(path) as raw, zipfile.ZipFile(raw) as z:
+                    found = sorted({n for n in z.namelist() if n.lower().endswith(".csv")})
+                rows = [(path, name, None) for name in found] or [(path, None, None)]
+            except _READ_ERRORS as error:
+                rows = [(path, None, f"{type(error).__name__}: {error}")]
+            yield pd.DataFrame(rows, columns=["path", "member", "error"], dtype=object)
 
 
 def _unzip(batches: Iterator[pd.DataFrame], sep: str, chunk: int = 20_000) -> Iterator[pd.DataFrame]:
     columns = ["archive", "member", "row_no", "cells", "error"]
     for pdf in batches:
-        for path in pdf["path"]:
-            archive, member, buffer = unquote(path.rsplit("/", 1)[-1]), None, []
+        for path, member, broken in pdf.itertuples(index=False):
+            archive, buffer = unquote(path.rsplit("/", 1)[-1]), []
+            if member is None:
+                yield pd.DataFrame([(archive, None, None, None, broken)], columns=columns)
+                continue
             try:
-                system, place = fs.FileSystem.from_uri(path)
-                with system.open_input_file(place) as raw, zipfile.ZipFile(raw) as z:
-                    for member in sorted(n for n in z.namelist() if n.lower().endswith(".csv")):
-                        with z.open(member) as data, io.TextIOWrapper(data, "utf-8-sig", newline="") as text:
-                            for no, cells in enumerate(csv.reader(text, delimiter=sep), start=1):
-                                buffer.append((archive, member, no, cells, None))
-                                if len(buffer) >= chunk:
-                                    yield pd.DataFrame(buffer, columns=columns)
-                                    buffer = []
-            except (zipfile.BadZipFile, OSError, RuntimeError, NotImplementedError, ValueError, csv.Error) as error:
+                with _open(path) as raw, zipfile.ZipFile(raw) as z:
+                    with z.open(member) as data, io.TextIOWrapper(data, "utf-8-sig", newline="") as text:
+                        for no, cells in enumerate(csv.reader(text, delimiter=sep), start=1):
+                            buffer.append((archive, member, no, cells, None))
+                            if len(buffer) >= chunk:
+                                yield pd.DataFrame(buffer, columns=columns)
+                                buffer = []
+            except _READ_ERRORS as error:
                 buffer.append((archive, member, None, None, f"{type(error).__name__}: {error}"))
             if buffer:
                 yield pd.DataFrame(buffer, columns=columns)
@@ -288,7 +315,8 @@ def parse_rows(rows: DataFrame, base: str) -> tuple[DataFrame, DataFrame]:
     fits = F.size("cells") == len(expected)
     wrong = rows.filter(head & ~fits).select("archive", "member", F.lit(True).alias("_wrong"))  # one row per member at most
     blank = (F.size("cells") == 0) | F.coalesce((F.size("cells") == 1) & (F.trim(F.get("cells", F.lit(0))) == ""), F.lit(False))
-    data = rows.filter(F.col("error").isNotNull() | ~(F.coalesce(head & fits, F.lit(False)) | blank))
+    read = F.col("error").isNotNull() | F.col("cells").isNotNull()
+    data = rows.filter(read & (F.col("error").isNotNull() | ~(F.coalesce(head & fits, F.lit(False)) | blank)))
     reason = (
         F.when(F.col("error").isNotNull(), "unreadable").when(F.col("_wrong"), "header").when(~fits, "cells")
     )

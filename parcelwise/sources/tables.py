@@ -38,8 +38,12 @@ def scan_months(table: DataFrame, start: str, end: str) -> DataFrame:
     compared as numbers: readers infer ``0001`` as 1.
     """
     first, last = (int(d[:4]) * 12 + int(d[5:7]) - 1 for d in (start, end))
-    months = [m // 12 % 100 * 100 + m % 12 + 1 for m in range(first, last + 1)]
-    return table.filter(F.col("yymm").cast("int").isin(months))
+    return scan_month_list(table, [m // 12 % 100 * 100 + m % 12 + 1 for m in range(first, last + 1)])
+
+
+def scan_month_list(table: DataFrame, months: Sequence[int]) -> DataFrame:
+    """The given months (``YYMM`` numbers) of a table partitioned by ``yymm``; no others are read."""
+    return table.filter(F.col("yymm").cast("int").isin(list(months)))
 
 
 def scan_month_paths(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
