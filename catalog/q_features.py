@@ -418,7 +418,7 @@ UNION ALL SELECT 'size', NULL, unnest(generate_series(3, least(12, greatest(1, (
   count(*) FILTER (action = 'new') AS new_tables, count(*) FILTER (action = 'keep') AS kept_tables FROM plan""", "specs", "rows_w"),
     "refresh_run": with_ctes(
         f"""SELECT w.window_size::BIGINT AS window_size, w.window_start, w.window_end, CASE WHEN w.end_idx > b.high - 2 THEN 'new' WHEN w.end_idx > b.high - 4 THEN 'recompute' ELSE 'keep' END AS action,
-  x.customers, x.items, x.revenue, x.days, z.codes, a.known, a.all_items, a.months_active
+  x.customers, x.items, x.revenue, x.days, coalesce(z.codes, 0) AS codes, a.known, a.all_items, a.months_active
 FROM span w CROSS JOIN (SELECT max(end_idx) AS high FROM span) b
 JOIN (SELECT window_size, window_end, count(DISTINCT cms_code_enc) AS customers, count(*) AS items, sum(total_fee)::BIGINT AS revenue, count(DISTINCT (cms_code_enc, sending_time::DATE)) AS days
   FROM span JOIN shipments s ON s.sending_time >= start_date AND s.sending_time <= end_date GROUP BY ALL) x ON x.window_size = w.window_size AND x.window_end = w.window_end

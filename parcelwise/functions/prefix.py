@@ -49,17 +49,19 @@ def bucketed(data: DataFrame, keys: Sequence[str], order: str, rows: int = BUCKE
     def descend(found: Column, half: Column) -> Column:
         return found + F.when(F.get("_edges", found + half - 1) < F.col(order), half).otherwise(0)
 
-    # The smallest value gets a place of its own, so that every round splits every bucket it takes.
-    place = F.when(F.col(order) == F.col("_low"), 0).otherwise(F.aggregate(halves, F.lit(0), descend) + 1)
+    # A value that is an edge gets a place of its own: a value with many rows is set apart at once, and every
+    # round splits every bucket it takes, since edges are values of the bucket.
+    below = F.aggregate(halves, F.lit(0), descend)
+    place = F.get(F.transform(F.array(below), lambda b: b * 2 + F.coalesce(F.get("_edges", b) == F.col(order), F.lit(False)).cast("int")), F.lit(0))
     path = F.when(F.col("_edges").isNull(), F.col("_bucket")).otherwise(F.concat("_bucket", F.array(place)))
     while True:
         sizes = out.groupBy(*at).agg(F.count(F.lit(1)).alias("_n"), F.min(order).alias("_low"), F.max(order).alias("_high"))
-        large = cut(sizes.filter((F.col("_n") > rows) & (F.col("_low") < F.col("_high"))).select(*at, "_low"))
+        large = cut(sizes.filter((F.col("_n") > rows) & (F.col("_low") < F.col("_high"))).select(*at))
         if large.isEmpty():
             return out
         full = out.join(large, at)
-        edges = full.groupBy(*at, "_low").agg(F.percentile_approx(order, cuts, F.lit(max(10_000, 4 * width))).alias("_edges"))
-        out = cut(out.join(edges, at, "left").withColumn("_bucket", path).drop("_edges", "_low"))
+        edges = full.groupBy(*at).agg(F.percentile_approx(order, cuts, F.lit(max(10_000, 4 * width))).alias("_edges"))
+        out = cut(out.join(edges, at, "left").withColumn("_bucket", path).drop("_edges"))
 
 
 def running_totals(

@@ -5,8 +5,8 @@ window over a whole column sorts it in one task. Both fail on big columns, so:
 
 * quantiles use a mergeable sketch to bracket each wanted rank, then count
   exactly what lies below the bracket and order only what lies inside it;
-* running totals are split into value buckets: totals per bucket first (a few
-  hundred rows), then a window inside each bucket.
+* running totals and ranks are sums over value buckets of bounded size
+  (:mod:`parcelwise.functions.prefix`).
 
 Both are exact. A bracket that misses its rank raises an error instead of
 returning a wrong value.
@@ -14,14 +14,18 @@ returning a wrong value.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelwise.functions.lineage import cut
+from parcelwise.functions.prefix import running_totals
 
 INF = float("inf")
+#: Up to so many keys are broadcast; more are joined by a shuffle.
+BROADCAST_KEYS = 100_000
 
 
 def linear_position(n: Column, p: float) -> Column:
@@ -48,28 +52,31 @@ def order_statistics(
     keys = list(keys)
     data = long.select(*keys, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
 
-    # 1. One sketch per key. The slack is four times the error of the sketch.
+    # 1. One sketch per key. A bracket reaches four times the error of the sketch to either side, and two
+    #    ranks further: 2 / n of the probability, rounded up to the next of a ladder of widths.
     slack = 4.0 / accuracy
-    asked = [max(p - slack, 0.0) for p in probs] + [min(p + slack, 1.0) for p in probs]
+    widths = [slack * 2**k for k in range(math.ceil(math.log2(1 / slack)) + 1)]
+    asked = [min(max(p + sign * w, 0.0), 1.0) for p in probs for sign in (-1, 1) for w in widths]
     sketch = data.groupBy(*keys).agg(
         F.count("_v").alias("_n"),
         F.percentile_approx("_v", F.array(*[F.lit(p) for p in asked]), F.lit(accuracy)).alias("_s"),
     )
-    small = F.col("_n") <= accuracy  # a group this small is ordered whole
-    lows = [
-        F.when(small | F.lit(p <= slack), F.lit(-INF)).otherwise(F.get("_s", F.lit(i))) for i, p in enumerate(probs)
-    ]
-    highs = [
-        F.when(small | F.lit(p >= 1 - slack), F.lit(INF)).otherwise(F.get("_s", F.lit(width + i)))
-        for i, p in enumerate(probs)
-    ]
+    step = F.least(F.ceil(F.log2(1 + F.lit(2.0 / slack) / F.col("_n"))), F.lit(len(widths) - 1)).cast("int")
+
+    def border(i: int, high: bool) -> Column:
+        first = (2 * i + high) * len(widths)
+        outside = [asked[first + k] in (0.0, 1.0) for k in range(len(widths))]
+        ends = F.array(*[F.lit(INF if high else -INF) if out else F.get("_s", F.lit(first + k)) for k, out in enumerate(outside)])
+        return F.get(ends, step)
+
     # Stored: both are small, and every later step reads them.
+    lows, highs = ([border(i, high) for i in range(width)] for high in (False, True))
     brackets = cut(sketch.select(*keys, "_n", F.array(*lows).alias("_lo"), F.array(*highs).alias("_hi")))
 
     # 2. Shrink the data: values inside a bracket stay, the rest become counts.
-    #    There is one bracket row per key (features x months), so it is broadcast.
     v = F.col("_v")
-    joined = _join_keys(data, brackets, keys)
+    small = F.broadcast(brackets) if brackets.count() <= BROADCAST_KEYS else brackets
+    joined = data.join(small, keys)
     lo = [F.get("_lo", F.lit(i)) for i in range(width)]
     hi = [F.get("_hi", F.lit(i)) for i in range(width)]
     inside = F.lit(False)
@@ -83,7 +90,7 @@ def order_statistics(
     )
 
     # 3. Per wanted rank: one NULL row counts everything below the bracket.
-    ranked = _join_keys(shrunk, brackets, keys).select(
+    ranked = shrunk.join(small, keys).select(
         *keys, "_n", "_in", "_region", "_c", F.posexplode(F.arrays_zip("_lo", "_hi")).alias("prob_id", "_b")
     )
     in_b = F.coalesce(F.col("_in").between(F.col("_b._lo"), F.col("_b._hi")), F.lit(False))
@@ -92,7 +99,7 @@ def order_statistics(
     below = ranked.groupBy(*ranks).agg(F.max("_n").alias("_n"), F.coalesce(F.sum(F.when(~in_b & under, F.col("_c"))), F.lit(0)).alias("_under"))
     inside_b = ranked.filter(in_b).select(*ranks, F.col("_in").alias("_v"), "_c")
     # The values of a bracket are summed up bucket by bucket, so no task orders a whole bracket.
-    ladder = _join_keys(running_totals(inside_b, ranks, "_v", ["_c"], steps=8), below, ranks).withColumn("_cum", F.col("cum__c") + F.col("_under"))
+    ladder = running_totals(inside_b, ranks, "_v", ["_c"]).join(below, ranks).withColumn("_cum", F.col("cum__c") + F.col("_under"))
     pos = F.coalesce(*[F.when(F.col("prob_id") == i, position(F.col("_n"), p)) for i, p in enumerate(probs)])
     low_k, high_k = F.floor(pos), F.ceil(pos)
     found = (
@@ -126,48 +133,6 @@ def exact_quantiles(long: DataFrame, keys: Sequence[str], value: str, probs: Seq
     )
 
 
-def running_totals(
-    totals: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    measures: Sequence[str],
-    *,
-    descending: bool = False,
-    steps: int = 10,
-) -> DataFrame:
-    """Running sums over distinct values, without one task per key.
-
-    ``totals`` has one row per key and value. Adds ``cum_{measure}``, the sum over
-    all values up to this one (from the top when ``descending``). Values are dealt to
-    ``2 ** steps`` buckets of about equal size by binary search among sketched edges.
-    """
-    buckets = 1 << steps
-    keys, measures = list(keys), list(measures)
-    sign = -1.0 if descending else 1.0
-    data = totals.withColumn("_o", F.col(value).cast("double") * F.lit(sign))
-    cuts = F.array(*[F.lit((i + 1) / buckets) for i in range(buckets - 1)])
-    edges = data.groupBy(*keys).agg(F.percentile_approx("_o", cuts, F.lit(max(10_000, 4 * buckets))).alias("_edges"))
-    halves = F.array(*[F.lit(1 << k) for k in reversed(range(steps))])
-
-    def descend(at: Column, half: Column) -> Column:
-        return at + F.when(F.get("_edges", at + half - 1) < F.col("_o"), half).otherwise(0)
-
-    bucketed = _join_keys(data, edges, keys).withColumn("_bucket", F.aggregate(halves, F.lit(0), descend)).drop("_edges")
-    before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        bucketed.groupBy(*keys, "_bucket")
-        .agg(*[F.sum(m).alias(f"_t_{m}") for m in measures])
-        .select(*keys, "_bucket", *[F.coalesce(F.sum(f"_t_{m}").over(before), F.lit(0)).alias(f"_b_{m}") for m in measures])
-    )
-    within = Window.partitionBy(*keys, "_bucket").orderBy("_o").rowsBetween(Window.unboundedPreceding, 0)
-    # At most one offset row per key and bucket.
-    joined = bucketed.join(F.broadcast(offsets), [*keys, "_bucket"])
-    out = joined
-    for m in measures:
-        out = out.withColumn(f"cum_{m}", F.sum(m).over(within) + F.col(f"_b_{m}"))
-    return out.drop("_o", "_bucket", *[f"_b_{m}" for m in measures])
-
-
 def average_ranks(long: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Average rank of every distinct value per key: ``keys, value, cnt, avg_rank``."""
     keys = list(keys)
@@ -218,6 +183,3 @@ def hash_sample(
     )
     return df.join(sure.unionByName(ties), id_col, "left_semi")
 
-
-def _join_keys(left: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return left.join(F.broadcast(small), list(keys))

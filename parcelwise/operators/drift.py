@@ -155,7 +155,7 @@ def feature_drift(current: DataFrame, profile: DataFrame) -> DataFrame:
 
 def monthly_drift(df: DataFrame, features: Sequence[str], month: str, n_bins: int = 10) -> DataFrame:
     """Each later month against the first one, for all features in one job."""
-    long = finite_long(df, features, [month]).persist()
+    long = cut(finite_long(df, features, [month]))
     first = df.agg(F.min(month)).scalar()
     reference = profile_from_long(long.filter(F.col(month) == first), n_bins)
     later = df.select(month).distinct().filter(F.col(month) > first)
@@ -194,7 +194,7 @@ def score_stats(scored: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
         F.count(F.lit(1)).alias("active_count"),
     )
     at = lambda i: F.get("quantiles", F.lit(i))
-    return sums.join(F.broadcast(q), by, "left").select(
+    return sums.join(q, by, "left").select(
         *keys, "mean", at(0).alias("p50"), at(1).alias("p90"), at(2).alias("p99"), "risk_count", "active_count",
         (F.col("risk_count") / F.greatest("active_count", F.lit(1))).alias("risk_ratio"),
     )

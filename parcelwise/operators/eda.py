@@ -258,37 +258,81 @@ def _gram_partials(width: int):
     return run
 
 
+def null_classes(df: DataFrame, names: Sequence[str]) -> list[list[int]]:
+    """Positions of the columns that are known in the same rows, class by class. The driver sees D x D counts."""
+    known = df.select(*[F.when(F.col(f).isNotNull(), 0.0).alias(f) for f in names])
+    both = {(r["i"], r["j"]): r["n"] for r in gram_sums(known, list(names)).select("i", "j", "n").collect()}
+    classes: list[list[int]] = []
+    for k in range(len(names)):
+        n = both.get((k, k), 0)
+        same = next((c for c in classes if both.get((c[0], c[0]), 0) == n == both.get((c[0], k), 0)), None)
+        if same is None:
+            classes.append([k])
+        else:
+            same.append(k)
+    return classes
+
+
 def _spearman(df: DataFrame, names: list[str]) -> DataFrame:
     """Pearson correlation of average ranks, ranked over the rows valid for the pair.
 
-    Columns without NULLs share one ranking; a pair with a NULL column is ranked
-    by itself. Ranks come from value counts, so equal values share one row.
+    Columns known in the same rows form a class; a pair of classes is ranked once, over the rows
+    where both are known. All class pairs go through one counting, one distributed ranking, one
+    join and one product, so the number of shuffles does not grow with the columns; pairs of
+    classes are mirrored. Ranks come from value counts: equal values share one row.
     """
     # Stored once: the row numbers must not change when a task is repeated.
     numeric = cut(
         df.select(*[C.finite_double(F.col(f)).alias(f) for f in names]).withColumn("_id", F.monotonically_increasing_id())
     )
-    filled = numeric.agg(*[F.count(f).alias(f) for f in names], F.count(F.lit(1)).alias("_all")).first()
-    whole = [f for f in names if filled[f] == filled["_all"]]
-    ranked = _rank_columns(numeric, whole)
-    out = correlation_matrix(ranked, whole) if whole else None
-    for a in names:
-        for b in names:
-            if a in whole and b in whole:
-                continue
-            pair = numeric.select(F.col(a).alias("a"), F.col(b).alias("b"), "_id").filter("a is not null and b is not null")
-            one = correlation_matrix(_rank_columns(pair, ["a", "b"]), ["a", "b"]).filter("feature_a = 'a' and feature_b = 'b'")
-            one = one.select(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), "correlation")
-            out = one if out is None else out.unionByName(one)
-    return out
+    classes = null_classes(numeric, names)
+    groups = [(x, y) for k, x in enumerate(classes) for y in classes[k:]]
+
+    def cells(g: int, x: list[int], y: list[int]) -> Column:
+        rows = F.array(*[F.struct(F.lit(g).alias("g"), F.lit(k).alias("k"), F.col(names[k]).alias("v")) for k in sorted({*x, *y})])
+        return F.when(F.col(names[x[0]]).isNotNull() & F.col(names[y[0]]).isNotNull(), rows)
+
+    every = F.flatten(F.filter(F.array(*[cells(g, x, y) for g, (x, y) in enumerate(groups)]), lambda a: a.isNotNull()))
+    long = numeric.select("_id", F.explode(every).alias("c")).select("_id", "c.g", "c.k", "c.v")
+    ranks = average_ranks(long, ["g", "k"], "v").select("g", "k", "v", "avg_rank")
+    sizes = long.groupBy("g", "k").agg(F.count(F.lit(1)).alias("n"))
+    # Ranks around their mean, (n + 1) / 2; one size per class pair and column.
+    centred = ranks.join(sizes, ["g", "k"]).select("g", "k", "v", (F.col("avg_rank") - (F.col("n") + 1) / 2).alias("r"))
+    ranked = long.join(centred, ["g", "k", "v"])
+    rows = ranked.groupBy("_id", "g").agg(F.sort_array(F.collect_list(F.struct("k", "r"))).alias("cells"))
+    columns = [sorted({*x, *y}) for x, y in groups]
+    # A row has one rank per column of its class pair, in column order.
+    parts = rows.select("g", F.transform("cells", lambda c: c["r"]).alias("r")).mapInPandas(_rank_products(columns), "g int, i int, j int, n bigint, xy double")
+    sums = parts.groupBy("g", "i", "j").agg(F.sum("n").alias("n"), F.sum("xy").alias("xy"))
+    diagonal = sums.filter("i = j").select("g", F.col("i").alias("d"), F.col("xy").alias("xx"))
+    xx, yy = (diagonal.select("g", F.col("d").alias(c), F.col("xx").alias(f"{c}{c}")) for c in ("i", "j"))
+    r = F.try_divide(F.col("xy"), F.sqrt("ii") * F.sqrt("jj"))
+    found = sums.join(xx, ["g", "i"]).join(yy, ["g", "j"]).select("g", "i", "j", F.when((F.col("n") > 1) & r.isNotNull(), F.greatest(F.least(r, F.lit(1.0)), F.lit(-1.0))).alias("r"))
+    # The class pair that stands for a pair of columns.
+    of = {k: c for c, members in enumerate(classes) for k in members}
+    place = {(of[x[0]], of[y[0]]): g for g, (x, y) in enumerate(groups)}
+    grid = [(place[min(of[a], of[b]), max(of[a], of[b])], a, b, names[a], names[b]) for a in range(len(names)) for b in range(len(names))]
+    wanted = df.sparkSession.createDataFrame(grid, "g int, i int, j int, feature_a string, feature_b string")
+    return wanted.join(found, ["g", "i", "j"], "left").select("feature_a", "feature_b", F.col("r").alias("correlation"))
+
+
+def _rank_products(columns: list[list[int]]):
+    """Per class pair: products of all ranked columns, summed over the rows of a task."""
 
+    def run(batches):
+        sums: dict[int, np.ndarray] = {}
+        counts: dict[int, int] = {}
+        for pdf in batches:
+            for g, part in pdf.groupby("g"):
+                x = np.stack(part["r"].to_numpy()).astype(float)
+                sums[g] = sums.get(g, 0.0) + x.T @ x
+                counts[g] = counts.get(g, 0) + len(x)
+        for g, xy in sums.items():
+            at = np.array(columns[g], "int32")
+            i, j = np.meshgrid(at, at, indexing="ij")
+            yield pd.DataFrame({"g": np.int32(g), "i": i.ravel(), "j": j.ravel(), "n": counts[g], "xy": xy.ravel()})
 
-def _rank_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Replace each column by its average rank. The rank table has one row per distinct value."""
-    long = df.select("_id", *names).unpivot(["_id"], list(names), "feature", "value")
-    ranks = average_ranks(long, ["feature"], "value").select("feature", "value", "avg_rank")
-    joined = long.join(ranks, ["feature", "value"])
-    return joined.groupBy("_id").agg(*[F.max(F.when(F.col("feature") == f, F.col("avg_rank"))).alias(f) for f in names])
+    return run
 
 
 def high_correlations(matrix: DataFrame, threshold: float = 0.80) -> DataFrame:

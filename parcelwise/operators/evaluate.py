@@ -9,7 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelwise.functions.quantiles import exact_quantiles, running_totals
+from parcelwise.functions.lineage import cut
+from parcelwise.functions.prefix import running_totals
+from parcelwise.functions.quantiles import exact_quantiles
 
 METRICS = ["f1", "f05", "precision", "recall", "pr_auc", "roc_auc", "threshold", "n_eval", "n_pos", "n_neg"]
 
@@ -24,7 +26,7 @@ def score_counts(scored: DataFrame, score: str = "churn_probability", label: str
 
 def pr_curve(scored: DataFrame, score: str = "churn_probability", label: str = "label") -> DataFrame:
     """Precision and recall when flagging every row at or above each distinct score."""
-    counts = score_counts(scored, score, label).withColumn("_all", F.lit(1)).persist()
+    counts = cut(score_counts(scored, score, label).withColumn("_all", F.lit(1)))
     swept = running_totals(counts, ["_all"], "score", ["pos", "cnt"], descending=True)
     n_pos = counts.agg(F.sum("pos")).scalar()
     recall = F.coalesce(F.try_divide(F.col("cum_pos"), n_pos), F.lit(1.0))
@@ -52,7 +54,7 @@ def _best_threshold(curve: DataFrame, beta: float) -> DataFrame:
 
 def evaluate(scored: DataFrame, score: str = "churn_probability", label: str = "label") -> DataFrame:
     """One row of metrics at the best F0.5 threshold; zeros for an empty set."""
-    curve = pr_curve(scored, score, label).persist()
+    curve = cut(pr_curve(scored, score, label))
     threshold = _best_threshold(curve, 0.5).scalar()
     # AUC: each positive beats the negatives below it and half of those on its score.
     negatives_above = F.col("cum_cnt") - F.col("cum_pos")

@@ -9,6 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parcelwise.functions.lineage import cut
 from parcelwise.operators import drift as D
 from parcelwise.operators import eda as E
 from parcelwise.sources.upsert import merge_by_key
@@ -43,23 +44,23 @@ def eda_report(
     threshold: float = 0.80,
 ) -> EdaReport:
     """Run all analyses. ``df`` should be a stored or persisted table: it is read by each."""
-    pairs = E.correlation_matrix(df, features, method).persist()
+    pairs = cut(E.correlation_matrix(df, features, method))
     report = EdaReport(
-        E.descriptive_stats(df, features).persist(),
-        E.missing_stats(df, features).persist(),
-        E.missing_patterns(df, features).persist(),
-        E.outlier_stats(df, features).persist(),
+        cut(E.descriptive_stats(df, features)),
+        cut(E.missing_stats(df, features)),
+        cut(E.missing_patterns(df, features)),
+        cut(E.outlier_stats(df, features)),
         pairs,
-        E.high_correlations(pairs, threshold).persist(),
+        cut(E.high_correlations(pairs, threshold)),
         metadata={"n_features": len(E.present(df, features)), "has_target": target is not None, "has_temporal": monthly is not None},
     )
     if target is not None and target in df.columns:
         report.class_distribution = E.class_distribution(df, target)
-        report.point_biserial = E.point_biserial_p(df, features, target).persist()
-        report.iv = E.all_iv(df, features, target).persist()
+        report.point_biserial = cut(E.point_biserial_p(df, features, target))
+        report.iv = cut(E.all_iv(df, features, target))
     if monthly is not None:
-        report.monthly_drift = D.monthly_drift(monthly, features, month).persist()
-        report.trends = E.feature_trends_p(monthly, features, month).persist()
+        report.monthly_drift = cut(D.monthly_drift(monthly, features, month))
+        report.trends = cut(E.feature_trends_p(monthly, features, month))
     return report
 
 

@@ -147,3 +147,38 @@ def test_baseline(spark, sample):
     stats = E.descriptive_stats(df, ["feat_a"])
     diff = E.compare_to_baseline(stats, E.load_baseline(E.baseline_rows(stats, "r"))).toPandas()
     assert len(diff) == 12 and (diff.delta == 0).all()
+
+
+def test_spearman_of_columns_with_their_own_nulls(spark):
+    rng = np.random.default_rng(11)
+    n = 400
+    pdf = pd.DataFrame({c: np.round(rng.normal(size=n), 1) for c in "abcdef"})
+    pdf["b"] = np.round(pdf.a + rng.normal(size=n), 1)
+    pdf.loc[rng.random(n) < 0.3, "c"] = np.nan
+    pdf.loc[pdf.c.isna(), "d"] = np.nan
+    pdf.loc[rng.random(n) < 0.6, "e"] = np.nan
+    pdf["zero"], pdf["none"] = np.where(rng.random(n) < 0.95, 0.0, 1.0), np.nan
+    pdf["flat"] = 3.0
+    names = list(pdf.columns)
+    df = spark.createDataFrame(pdf.astype(object).where(pdf.notna(), None).values.tolist(), ", ".join(f"{c} double" for c in names)).repartition(5)
+    assert E.null_classes(df, names) == [[0, 1, 5, 6, 8], [2, 3], [4], [7]]
+    want = pdf.corr("spearman")
+    got = {(r["feature_a"], r["feature_b"]): r["correlation"] for r in E.correlation_matrix(df, names, "spearman").collect()}
+    assert len(got) == len(names) ** 2
+    for a in names:
+        for b in names:
+            w = want.loc[a, b]
+            assert (got[a, b] is None) if np.isnan(w) else abs(got[a, b] - w) < 1e-9, (a, b)
+
+
+def test_spearman_shuffles_do_not_grow_with_the_columns(spark):
+    rng = np.random.default_rng(2)
+
+    def exchanges(k):
+        x = rng.normal(size=(50, k))
+        rows = [[None if (i + j) % 7 == 0 else float(v) for j, v in enumerate(r)] for i, r in enumerate(x)]
+        df = spark.createDataFrame(rows, ", ".join(f"f{i} double" for i in range(k)))
+        plan = E.correlation_matrix(df, [f"f{i}" for i in range(k)], "spearman")._jdf.queryExecution().executedPlan().toString()
+        return plan.count("Exchange ")
+
+    assert exchanges(9) <= exchanges(3) + 2

@@ -3,7 +3,9 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from parcelwise.functions.quantiles import average_ranks, exact_quantiles, hash_sample, running_totals
+from parcelwise.functions import prefix
+from parcelwise.functions.prefix import bucketed, positions, running_totals
+from parcelwise.functions.quantiles import average_ranks, exact_quantiles, hash_sample
 
 
 @pytest.fixture(scope="module")
@@ -48,3 +50,37 @@ def test_hash_sample(spark):
     assert len({r["id"] for r in first}) == 3000
     other = hash_sample(df, "id", lambda n: F.ceil(n * 0.1), 0.1, 8, ["s"]).collect()
     assert sorted(first) != sorted(other)
+
+
+def test_buckets_are_bounded_whatever_the_values(spark):
+    """Skewed and many distinct values, in several rounds of refinement."""
+    rng = np.random.default_rng(3)
+    x = np.unique(np.concatenate([rng.exponential(1e-6, 40_000), rng.normal(1e6, 1e-3, 30_000), -(10.0 ** rng.uniform(-300, 300, 20_000)), [np.inf, -np.inf]]))
+    df = spark.createDataFrame(pd.DataFrame({"k": "a", "v": x, "n": rng.integers(1, 9, len(x))})).repartition(5)
+    sizes = bucketed(df, ["k"], "v", 100, steps=4).groupBy("_bucket").count()
+    assert sizes.agg(F.max("count")).first()[0] <= 100
+    out = running_totals(df, ["k"], "v", ["n"], rows=500).toPandas().sort_values("v")
+    assert len(out) == len(x) and (out.n.cumsum() == out.cum_n).all()
+
+
+def test_one_value_that_fills_a_bucket_ends_the_refinement(spark):
+    df = spark.range(5000).select(F.lit("a").alias("k"), F.when(F.col("id") < 4900, 1.0).otherwise(F.col("id").cast("double")).alias("v"))
+    for sign in (1, -1):
+        got = bucketed(df.withColumn("v", F.col("v") * sign), ["k"], "v", 10, steps=2).groupBy("_bucket").agg(F.count("v").alias("n"), F.countDistinct("v").alias("d")).collect()
+        assert sum(r["n"] for r in got) == 5000 and all(r["n"] <= 10 or r["d"] == 1 for r in got)
+
+
+def test_positions(spark):
+    df = spark.range(2000).select((F.col("id") * 7919 % 2003).cast("string").alias("s")).unionByName(spark.createDataFrame([(None,)], "s string"))
+    got = {r["s"]: r["p"] for r in positions(df.repartition(6), [F.col("s").asc_nulls_last()], "p").collect()}
+    want = sorted(got, key=lambda s: (s is None, s or ""))
+    assert [got[s] for s in want] == list(range(1, 2002))
+    assert prefix.BUCKET_ROWS >= 1 << 16
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 7, 40, 900])
+def test_quantiles_of_few_values(spark, n):
+    x = np.round(np.random.default_rng(n).normal(size=n), 1)
+    probs = [0.0, 0.01, 0.25, 0.5, 0.9, 0.99, 1.0]
+    got = exact_quantiles(spark.createDataFrame(pd.DataFrame({"k": "a", "v": x})), ["k"], "v", probs).first()
+    np.testing.assert_allclose(got["quantiles"], np.quantile(x, probs), rtol=0, atol=1e-12)
