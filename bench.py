@@ -13,7 +13,7 @@ import statistics
 import tempfile
 import time
 
-from catalog.inputs import EDA_FEATURES, FLOOR, LAST, MAX_SIZE, T_OBS, W, Inputs
+from catalog.inputs import MAX_SIZE, T_OBS, W, Inputs
 from parcelwise.operators import drift as D
 from parcelwise.operators import eda as E
 from parcelwise.operators import features as X
@@ -21,14 +21,21 @@ from parcelwise.operators import rollup as R
 from parcelwise.session import local_session
 from parcelwise.sources import tables as TB
 
+# The months and features of the first measurements, so that rounds compare.
+FLOOR, LAST = "1999-01-01", "2001-07-31"
+EDA_FEATURES = (
+    "item_sum item_avg revenue_avg complaint_avg weight_avg pct_delay pct_refund order_score_avg "
+    "active_days recency frequency known_delay known_ratio"
+).split()
+
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     spark = local_session(os.environ.get("BENCH_CPUS", "8"), shuffle_partitions=8)
     out = tempfile.mkdtemp(prefix="parcelwise-bench-")
-    i = Inputs(spark, sf_dir, keep=False)
-    stored = Inputs(spark, sf_dir, keep=False)
+    i = Inputs(spark, sf_dir, keep=False, first=FLOOR, last=LAST)
+    stored = Inputs(spark, sf_dir, keep=False, first=FLOOR, last=LAST)
 
     def noop(df) -> None:
         df.write.format("noop").mode("overwrite").save()

@@ -11,11 +11,10 @@ from parcelwise.operators import features as X
 from parcelwise.operators import labels as L
 from parcelwise.operators import rollup as R
 from parcelwise.plans import windows as P
+from parcelwise.schemas import MODEL_FEATURES
 from parcelwise.session import tune
 from parcelwise.sources import adapters as A
 
-FLOOR = "1999-01-01"  # first month of the window plan
-LAST = "2001-07-31"  # last day of the window plan
 HISTORY = "1995-01-01"  # first day of all activity
 FUTURE = "2001-12-31"  # after the last day of all activity
 T_OBS = "2001-08-01"
@@ -28,18 +27,20 @@ HORIZON = 2
 ALPHA = 0.3
 SEED = 42
 
-EDA_FEATURES = (
-    "item_sum item_avg revenue_avg complaint_avg weight_avg pct_delay pct_refund order_score_avg "
-    "active_days recency frequency known_delay known_ratio"
-).split()
+#: All model features, and two with NULLs.
+EDA_FEATURES = [*MODEL_FEATURES, "known_delay", "known_ratio"]
 TOP_FEATURES = ["item_sum", "recency", "pct_delay"]
 
 
 class Inputs:
-    """Lazy frames over one data directory. ``keep`` persists what several queries share."""
+    """Lazy frames over one data directory. ``keep`` persists what several queries share.
 
-    def __init__(self, spark: SparkSession, sf_dir: str, keep: bool = True):
+    Windows cover every month of the data between ``first`` and ``last``, by default all of them.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, keep: bool = True, first: str = HISTORY, last: str = FUTURE):
         self.spark, self.sf_dir, self.keep = tune(spark), sf_dir, keep
+        self.first, self.last = first, last
         self.memo: dict[str, object] = {}
 
     def _kept(self, df: DataFrame) -> DataFrame:
@@ -67,7 +68,7 @@ class Inputs:
     @cached_property
     def monthly(self) -> DataFrame:
         """Customer-months of the window plan, with day sets."""
-        return self._kept(R.monthly_rollup(self.shipments, FLOOR, LAST, with_days=True))
+        return self._kept(R.monthly_rollup(self.shipments, self.first, self.last, with_days=True))
 
     @cached_property
     def customer_month(self) -> DataFrame:
@@ -77,14 +78,14 @@ class Inputs:
     @cached_property
     def months(self) -> DataFrame:
         bounds = self.shipments.agg(
-            F.greatest(F.min("sending_time").cast("date"), F.lit(FLOOR).cast("date")).alias("start_date"),
-            F.least(F.max("sending_time").cast("date"), F.lit(LAST).cast("date")).alias("end_date"),
+            F.greatest(F.min("sending_time").cast("date"), F.lit(self.first).cast("date")).alias("start_date"),
+            F.least(F.max("sending_time").cast("date"), F.lit(self.last).cast("date")).alias("end_date"),
         )
         return P.month_range(bounds)
 
     @cached_property
     def specs(self) -> DataFrame:
-        return P.specs_between(self.spark, FLOOR, LAST, SIZES)
+        return P.window_specs(self.months, SIZES, self.first)
 
     @cached_property
     def base(self) -> DataFrame:
@@ -96,17 +97,21 @@ class Inputs:
 
     @cached_property
     def eda(self) -> DataFrame:
-        """All three-month windows, two features with NULLs and a target."""
-        rows = self.features.filter(F.col("window_size") == W)
-        return self._kept(
-            rows.withColumns(
-                {
-                    "known_delay": F.when(F.col("avg_delayday") > 0, F.col("avg_delayday")),
-                    "known_ratio": F.when(F.col("service_types_used") >= 3, F.col("dominant_service_ratio")),
-                    "target": F.when(F.col("recency") > 60, 1).otherwise(0),
-                }
-            ).select("cms_code_enc", "window_end", "target", *EDA_FEATURES)
-        )
+        """All three-month windows with their smoothed signals, two features with NULLs and a target.
+
+        Doubles have nine digits: their last bits depend on the order of sums, and a value on a bin's
+        edge must not change sides with it.
+        """
+        rows = X.ewma(self.features.filter(F.col("window_size") == W), W, ALPHA)
+        rows = rows.withColumns(
+            {
+                "known_delay": F.when(F.col("avg_delayday") > 0, F.col("avg_delayday")),
+                "known_ratio": F.when(F.col("service_types_used") >= 3, F.col("dominant_service_ratio")),
+                "target": F.when(F.col("recency") > 60, 1).otherwise(0),
+            }
+        ).select("cms_code_enc", "window_end", "target", *EDA_FEATURES)
+        doubles = {f.name: F.round(f.name, 9) + 0.0 for f in rows.schema.fields if f.dataType.typeName() == "double"}
+        return self._kept(rows.withColumns(doubles))
 
     @cached_property
     def current(self) -> DataFrame:

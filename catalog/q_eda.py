@@ -11,8 +11,7 @@ from parcelwise.operators import drift as D
 from parcelwise.operators import eda as E
 from parcelwise.sources.upsert import merge_by_key
 
-PAIR = ["item_sum", "item_avg", "revenue_avg", "weight_avg", "active_days", "recency", "known_delay"]
-RANKED = ["item_sum", "revenue_avg", "recency"]
+PAIR = RANKED = EDA_FEATURES
 STATS = ["mean", "median", "std", "skew", "kurtosis", "min_val", "max_val", "p5", "p25", "p50", "p75", "p95"]
 
 
@@ -132,10 +131,36 @@ FROM (SELECT {f}::DOUBLE AS v FROM eda WHERE {f} IS NOT NULL),
      (SELECT q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi, m, s FROM (SELECT quantile_cont({f}::DOUBLE, 0.25) AS q1, quantile_cont({f}::DOUBLE, 0.75) AS q3, avg({f}::DOUBLE) AS m, stddev_samp({f}::DOUBLE) AS s FROM eda))"""
     for f in EDA_FEATURES
 )
-CORR = "\nUNION ALL ".join(f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, corr({a}::DOUBLE, {b}::DOUBLE) AS correlation FROM eda" for a in PAIR for b in PAIR)
-_RANK = ", ".join(f"avg(rn_{f}) OVER (PARTITION BY {f}) AS r_{f}" for f in RANKED)
-_RN = ", ".join(f"row_number() OVER (ORDER BY {f}) AS rn_{f}, {f}" for f in RANKED)
-SPEARMAN = "\nUNION ALL ".join(f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, {r(f'corr(r_{a}, r_{b})', 5)} AS correlation FROM ranked" for a in RANKED for b in RANKED)
+
+
+def all_pairs(corr: str, src: str, names: list[str]) -> str:
+    """Correlations of all pairs in one aggregate, mirrored; NULL for a constant column."""
+    rows = ", ".join(f"{{'a': '{a}', 'b': '{b}', 'c': {corr.format(a=a, b=b)}}}" for k, a in enumerate(names) for b in names[k:])
+    one = f"SELECT u.a AS a, u.b AS b, CASE WHEN isnan(u.c) THEN NULL ELSE u.c END AS c FROM (SELECT unnest([{rows}]) AS u FROM {src})"
+    return f"SELECT a AS feature_a, b AS feature_b, c AS correlation FROM ({one}) UNION ALL SELECT b, a, c FROM ({one}) WHERE a <> b"
+
+
+CORR = all_pairs("corr({a}::DOUBLE, {b}::DOUBLE)", "eda", EDA_FEATURES)
+
+
+def spearman_sql() -> str:
+    """Pearson correlation of average ranks over the rows that are known for the pair: one ranking per set of known columns."""
+    known = ["known_delay", "known_ratio"]
+    whole = [f for f in EDA_FEATURES if f not in known]
+    ctes, parts = [], []
+    for tag, gaps in (("w", []), ("d", known[:1]), ("q", known[1:]), ("b", known)):
+        cols = whole if not gaps else [*whole, *gaps] if len(gaps) == 1 else gaps
+        ranks = ", ".join(f"rank() OVER (ORDER BY {f}) + (count(*) OVER (PARTITION BY {f}) - 1) / 2.0 AS {f}" for f in cols)
+        where = " AND ".join(f"{g} IS NOT NULL" for g in gaps) or "true"
+        ctes.append(f"rank_{tag} AS MATERIALIZED (SELECT {ranks} FROM eda WHERE {where})")
+        pairs = [(a, b) for k, a in enumerate(cols) for b in cols[k:] if not gaps or (len(gaps) == 1 and gaps[0] in (a, b)) or (len(gaps) == 2 and a != b)]
+        rows = ", ".join(f"{{'a': '{a}', 'b': '{b}', 'c': corr({a}, {b})}}" for a, b in pairs)
+        parts.append(f"SELECT unnest([{rows}]) AS u FROM rank_{tag}")
+    one = " UNION ALL ".join(parts)
+    return f""", {", ".join(ctes)}, one AS MATERIALIZED (SELECT u.a AS a, u.b AS b, round(CASE WHEN isnan(u.c) THEN NULL ELSE u.c END, 5) + 0.0 AS c FROM ({one}))
+SELECT a AS feature_a, b AS feature_b, c AS correlation FROM one UNION ALL SELECT b, a, c FROM one WHERE a <> b"""
+
+
 BISERIAL = each("SELECT '{f}' AS feature_name, count({f}) AS n, corr({f}::DOUBLE, target::DOUBLE) AS r FROM eda")
 
 
@@ -197,7 +222,7 @@ ORACLE = {
 FROM (SELECT concat_ws(',', """ + ", ".join(f"CASE WHEN {f} IS NULL THEN '{f}' END" for f in EDA_FEATURES) + """) AS affected_columns FROM eda) WHERE affected_columns <> '' GROUP BY affected_columns""", "eda"),
     "outlier_stats": with_ctes("SELECT * REPLACE (" + ", ".join(f"{r(c)} AS {c}" for c in ("iqr_lower", "iqr_upper", "iqr_outlier_pct", "zscore_outlier_pct")) + f") FROM ({OUTLIERS})", "eda"),
     "correlation_matrix": with_ctes(f"SELECT feature_a, feature_b, {r('correlation', 5)} AS correlation FROM ({CORR})", "eda"),
-    "correlation_matrix_spearman": with_ctes(f", rn AS (SELECT {_RN} FROM eda), ranked AS (SELECT {_RANK} FROM rn) {SPEARMAN}", "eda"),
+    "correlation_matrix_spearman": with_ctes(spearman_sql(), "eda"),
     "high_correlations": with_ctes(f"SELECT feature_a, feature_b, {r('correlation')} AS correlation FROM (SELECT * REPLACE ({e6('correlation')} AS correlation) FROM ({CORR})) WHERE feature_a < feature_b AND abs(correlation) >= 0.5", "eda"),
     "class_distribution": with_ctes(
         """SELECT count(*) AS total_count, count(*) FILTER (target = 1) AS positive_count, count(*) FILTER (target <> 1) AS negative_count,

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog import sql as S
-from catalog.inputs import ALPHA, END_KEY, FLOOR, FUTURE, HISTORY, LAST, MAX_SIZE, SIZES, T_OBS, W, Inputs, tidy
+from catalog.inputs import ALPHA, END_KEY, FUTURE, HISTORY, MAX_SIZE, SIZES, T_OBS, W, Inputs, tidy
 from catalog.sql import SERVICES, feature_list, r, with_ctes
+from catalog.sql import ewma_sql as _ewma_sql
 from parcelwise.functions import columns as C
 from parcelwise.operators import features as X
 from parcelwise.operators import rollup as R
@@ -61,7 +62,7 @@ def q_window_features(i: Inputs):
 def q_window_features_one(i: Inputs):
     """One window alone, to show that the joint build changes nothing."""
     specs = i.specs.filter((F.col("window_size") == W) & (F.col("window_end") == END_KEY))
-    monthly = R.monthly_rollup(i.shipments, "2001-05-01", LAST, with_days=True)
+    monthly = R.monthly_rollup(i.shipments, "2001-05-01", "2001-07-31", with_days=True)
     wide = X.window_features(monthly, i.complaints, specs, W)
     return tidy(wide)
 
@@ -145,7 +146,7 @@ def q_month_plan(i: Inputs):
 
 
 def q_window_specs(i: Inputs):
-    return tidy(P.window_specs(i.months, SIZES, FLOOR))
+    return tidy(i.specs)
 
 
 def q_valid_training_ends(i: Inputs):
@@ -247,13 +248,6 @@ def _slopes(x: str) -> str:
     return ", ".join(f"{r(f'coalesce(CASE WHEN count(*) > 1 THEN regr_slope({y}, {x}) END, 0)')} AS {n}" for n, y in pairs.items())
 
 
-def _ewma_sql(metric: str, alpha: float = ALPHA) -> tuple[str, str]:
-    a, b, c = (f"coalesce({metric}_{s}, 0)::DOUBLE" for s in ("2m_ago", "1m_ago", "last"))
-    one = f"({alpha} * {b} + (1 - {alpha}) * {a})"
-    two = f"({alpha} * {c} + (1 - {alpha}) * {one})"
-    return two, f"{two} - {one}"
-
-
 def _ewma_cols() -> str:
     cols = []
     for m in ("item", "revenue", "complaint", "delay", "nodone", "order", "satisfaction"):

@@ -17,7 +17,7 @@ from parcelwise.operators import reports as R
 from parcelwise.sources import tables as TB
 from parcelwise.sources.upsert import insert_if_absent, latest_rows, merge_by_key
 
-DRIFT_FEATURES = ["item_sum", "revenue_avg", "pct_delay", "active_days", "recency", "known_delay"]
+DRIFT_FEATURES = EDA_FEATURES
 
 
 def _reference(i: Inputs):
