@@ -89,7 +89,7 @@ def battery(tokens: DataFrame) -> DataFrame:
     plain = F.translate(F.rtrim(F.col("value"), F.lit("=")), "-_", "+/")
     plain = F.when(F.col("encoding") == "hex", F.lower(plain)).otherwise(plain)
     rows = tokens.withColumns({"_alphabet": alphabet, "_plain": plain})
-    place = F.transform(F.sequence(F.lit(1), F.length("_plain")), lambda i: F.position(F.substring(F.col("_plain"), i, F.lit(1)), F.col("_alphabet")))
+    place = F.transform(F.filter(F.split("_plain", ""), lambda c: c != ""), lambda c: F.position(c, F.col("_alphabet")))
     rows = rows.withColumn("_at", place).withColumns({"_n": F.length("_plain").cast("double"), "_k": F.length("_alphabet").cast("double")})
     at, n, k = F.col("_at"), F.col("_n"), F.col("_k")
     zero = F.lit(0.0)
