@@ -28,17 +28,33 @@ def _op3() -> str:
       regexp_extract(rest, '^([^/?#]*)', 1) AS raw_host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path"""
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
     split = f"SELECT *, translate(raw_host, '{upper}', '{lower}') AS host FROM (SELECT *, {parts} FROM (SELECT *, coalesce(CASE WHEN instr(u, '://') > 0 THEN substr(u, instr(u, '://') + 3) END, '') AS rest FROM %s))"
+    url = "'^([^:/?#]+)://([^/?#]*)([^?#]*)(\\?[^#]*)?'"
+
+    def dots(path: str) -> str:
+        whole = f"regexp_replace({path}, '(/\\.{{1,2}})$', '\\1/')"
+        walk = "lambda a, x: CASE WHEN x[1] = '.' THEN a WHEN x[1] = '..' THEN CASE WHEN len(a) > 1 THEN a[:-2] ELSE a END ELSE list_concat(a, x) END"
+        return f"array_to_string(list_reduce(list_prepend([''], list_transform(string_split(substr({whole}, 2), '/'), lambda x: [x])), {walk}), '/')"
+
+    def node(u: str) -> str:
+        scheme, host, path, query = (f"regexp_extract({u}, {url}, {k})" for k in range(1, 5))
+        scheme, host = (f"translate({x}, '{upper}', '{lower}')" for x in (scheme, host))
+        bare = f"CASE WHEN {scheme} = 'http' AND ends_with({host}, ':80') THEN left({host}, -3) WHEN {scheme} = 'https' AND ends_with({host}, ':443') THEN left({host}, -4) ELSE {host} END"
+        return f"CASE WHEN {scheme} <> '' THEN {scheme} || '://' || {bare} || CASE WHEN {path} = '' THEN '/' ELSE {dots(path)} END || {query} ELSE regexp_replace({u}, '#.*$', '') END"
+
+    scheme, host, path = (f"regexp_extract(a, {url}, {k})" for k in (1, 2, 3))
+    whole = f"""CASE WHEN regexp_matches(l, '(?i)^https?://') THEN l WHEN regexp_matches(l, '^[A-Za-z][A-Za-z0-9+.-]*:') OR {scheme} = '' THEN NULL
+    WHEN starts_with(l, '//') THEN {scheme} || ':' || l WHEN starts_with(l, '/') THEN {scheme} || '://' || {host} || l WHEN starts_with(l, '?') THEN {scheme} || '://' || {host} || {path} || l
+    WHEN l <> '' AND NOT starts_with(l, '#') THEN {scheme} || '://' || {host} || CASE WHEN {path} = '' THEN '/' ELSE regexp_replace({path}, '[^/]*$', '') END || l END"""
     return f"""
-WITH RECURSIVE page AS (SELECT page_id, url AS u, regexp_replace(url, '#.*$', '') AS node, html FROM pages),
-tag AS (SELECT node AS a, unnest(regexp_extract_all(html, '(?i)<(?:link|meta)\\b[^>]*>')) AS t FROM page WHERE u IS NOT NULL),
+WITH RECURSIVE page AS (SELECT page_id, url AS u, {node('url')} AS node, html FROM pages),
+tag AS (SELECT u AS a, unnest(regexp_extract_all(html, '(?i)<(?:link|meta)\\b[^>]*>')) AS t FROM page WHERE u IS NOT NULL),
 named AS (SELECT a, trim(replace(CASE
     WHEN regexp_matches(t, '(?i)\\brel\\s*=\\s*["'']?\\s*canonical\\b') THEN
       regexp_extract(t, '(?i)\\bhref\\s*=\\s*(?:"([^"]*)"|''([^'']*)''|([^\\s"''>]+))', 1) || regexp_extract(t, '(?i)\\bhref\\s*=\\s*(?:"([^"]*)"|''([^'']*)''|([^\\s"''>]+))', 2)
       || regexp_extract(t, '(?i)\\bhref\\s*=\\s*(?:"([^"]*)"|''([^'']*)''|([^\\s"''>]+))', 3)
     WHEN regexp_matches(t, '(?i)\\bhttp-equiv\\s*=\\s*["'']?\\s*refresh\\b') THEN regexp_extract(t, '(?i)\\burl\\s*=\\s*["'']?([^"''>\\s]+)', 1) END, '&amp;', '&')) AS l FROM tag),
-edge AS (SELECT a, regexp_replace(CASE WHEN regexp_matches(l, '(?i)^https?://') THEN l
-    WHEN starts_with(l, '//') THEN regexp_extract(a, '^([^:/?#]+:)', 1) || l
-    WHEN starts_with(l, '/') AND regexp_matches(a, '^[^:/?#]+://') THEN regexp_extract(a, '^([^:/?#]+://[^/?#]*)', 1) || l END, '#.*$', '') AS b FROM named),
+whole AS (SELECT a, {whole} AS w FROM named WHERE l IS NOT NULL),
+edge AS (SELECT {node('a')} AS a, {node('w')} AS b FROM whole WHERE w IS NOT NULL),
 link AS (SELECT a, b FROM edge WHERE b IS NOT NULL AND a <> b UNION SELECT b, a FROM edge WHERE b IS NOT NULL AND a <> b),
 reach(node, u) AS (SELECT a, a FROM link UNION SELECT r.node, l.b FROM reach r JOIN link l ON r.u = l.a),
 seen AS (SELECT node, {verdict} AS v FROM ({split % "reach"})),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelwise.llm.common import ascii_lower, store
+from parcelwise.llm.common import ascii_lower, empty, store
 from parcelwise.llm.components import components
 
 #: (verdict, host, path); the production rules.
@@ -42,27 +42,59 @@ def match_rule(host: Column, path: Column, rules=RULES) -> Column:
     return found
 
 
+URL = r"^([^:/?#]+)://([^/?#]*)([^?#]*)(\?[^#]*)?"
+
+
+def _without_dots(path: Column) -> Column:
+    """A path that begins with ``/``, its ``.`` and ``..`` segments resolved."""
+    whole = F.regexp_replace(path, r"(/\.{1,2})$", "$1/")
+
+    def walk(done: Column, s: Column) -> Column:
+        back = F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0)))
+        return F.when(s == ".", done).when(s == "..", back).otherwise(F.concat(done, F.array(s)))
+
+    kept = F.aggregate(F.split(F.substring(whole, 2, F.length(whole)), "/", -1), empty("string"), walk)
+    return F.when(F.contains(whole, F.lit("/.")), F.concat(F.lit("/"), F.array_join(kept, "/"))).otherwise(whole)
+
+
+def node_of(url: Column) -> Column:
+    """A url as a node: scheme and host in lower case, no default port, ``/`` for an empty path, no dot segments, no fragment."""
+    scheme, host, path, query = (F.regexp_extract(url, URL, k) for k in range(1, 5))
+    scheme = ascii_lower(scheme)
+    port = F.when(scheme == "http", ":80").when(scheme == "https", ":443").otherwise("")
+    host = ascii_lower(host)
+    bare = F.when((port != "") & F.endswith(host, port), F.substring(host, F.lit(1), F.length(host) - F.length(port))).otherwise(host)
+    path = F.when(path == "", "/").otherwise(_without_dots(path))
+    return F.when(scheme != "", F.concat(scheme, F.lit("://"), bare, path, query)).otherwise(F.regexp_replace(url, "#.*$", ""))
+
+
 def _absolute(link: Column, url: Column) -> Column:
-    """A link found in the page at ``url``; NULL if it is no web address."""
-    base = F.regexp_extract(url, r"^([^:/?#]+://[^/?#]*)", 1)
+    """The node of a link found in the page at ``url``; NULL if it names no web address."""
+    scheme, host, path = (F.regexp_extract(url, URL, k) for k in (1, 2, 3))
+    origin = F.concat(scheme, F.lit("://"), host)
+    folder = F.when(path == "", "/").otherwise(F.regexp_replace(path, "[^/]*$", ""))
     whole = (
         F.when(link.rlike("(?i)^https?://"), link)
-        .when(F.startswith(link, F.lit("//")), F.concat(F.regexp_extract(url, "^([^:/?#]+:)", 1), link))
-        .when(F.startswith(link, F.lit("/")) & (base != ""), F.concat(base, link))
+        .when(link.rlike("^[A-Za-z][A-Za-z0-9+.-]*:") | (scheme == ""), F.lit(None))
+        .when(F.startswith(link, F.lit("//")), F.concat(scheme, F.lit(":"), link))
+        .when(F.startswith(link, F.lit("/")), F.concat(origin, link))
+        .when(F.startswith(link, F.lit("?")), F.concat(origin, path, link))
+        .when((link != "") & ~F.startswith(link, F.lit("#")), F.concat(origin, folder, link))
     )
-    return F.regexp_replace(whole, "#.*$", "")
+    return node_of(whole)
 
 
 def page_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """``(a, b)``: page url and the url that its canonical link or its refresh redirect names."""
+    """``(a, b)``: the nodes of a page and of the url that its canonical link or its refresh redirect names, relative ones too."""
     likely = F.col(html_col).rlike("(?i)canonical|http-equiv")
     tags = pages.where(F.col(url_col).isNotNull() & likely).select(
-        F.regexp_replace(F.col(url_col), "#.*$", "").alias("a"), F.explode_outer(F.regexp_extract_all(html_col, F.lit("(?i)" + TAG), F.lit(0))).alias("tag")
+        F.col(url_col).alias("url"), F.explode_outer(F.regexp_extract_all(html_col, F.lit("(?i)" + TAG), F.lit(0))).alias("tag")
     )
     tag = F.col("tag")
     href = F.concat(*[F.regexp_extract(tag, HREF, g) for g in (1, 2, 3)])
     link = F.when(tag.rlike(CANONICAL), href).when(tag.rlike(REFRESH), F.regexp_extract(tag, TARGET, 1))
-    return tags.select("a", _absolute(F.trim(F.replace(link, F.lit("&amp;"), F.lit("&"))), F.col("a")).alias("b")).where("b is not null and a <> b")
+    links = tags.select("url", F.trim(F.replace(link, F.lit("&amp;"), F.lit("&"))).alias("link")).where("link is not null")
+    return links.select(node_of(F.col("url")).alias("a"), _absolute(F.col("link"), F.col("url")).alias("b")).where("b is not null and a <> b")
 
 
 def judge_urls(pages: DataFrame, redirects: DataFrame | None = None, rules=RULES, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -72,7 +104,8 @@ def judge_urls(pages: DataFrame, redirects: DataFrame | None = None, rules=RULES
     and canonical links reach from it, in either direction: it is blocked if one of them is
     blocked by a rule and none is allowed by one, and allowed otherwise, so an explicit allow
     comes before any propagated block. ``redirects(source, target)`` adds edges of a crawl
-    log; its urls need not be pages. Fragments do not tell urls apart. NULL urls, urls
+    log; its urls need not be pages. Fragments, the case of scheme and host, default ports, dot
+    segments and an empty path do not tell urls apart. NULL urls, urls
     without ``://`` and repeated rows are judged by the same rules (empty host and path); NULL
     html has no links; an empty table gives an empty result; further columns are not read.
 
@@ -81,7 +114,7 @@ def judge_urls(pages: DataFrame, redirects: DataFrame | None = None, rules=RULES
     """
     edges = page_links(pages, url_col, html_col)
     if redirects is not None:
-        logged = redirects.select(*[F.regexp_replace(c, "#.*$", "").alias(n) for c, n in (("source", "a"), ("target", "b"))])
+        logged = redirects.select(*[node_of(F.col(c)).alias(n) for c, n in (("source", "a"), ("target", "b"))])
         edges = edges.union(logged.where("a is not null and b is not null and a <> b"))
     member = components(edges)
     own = match_rule(*split_url(F.col("node")), rules)["verdict"]
@@ -90,7 +123,7 @@ def judge_urls(pages: DataFrame, redirects: DataFrame | None = None, rules=RULES
     aliases = store(member.join(blocked, "component", "left_semi").select(F.col("node").alias("_url"), F.lit(True).alias("_alias")), "aliases")
     host, path = split_url(F.col("_full"))
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("_full"))
-    rows = rows.withColumn("_url", F.regexp_replace("_full", "#.*$", "")).withColumns({"host": F.coalesce(host, F.lit("")), "path": F.coalesce(path, F.lit(""))})
+    rows = rows.withColumn("_url", node_of(F.col("_full"))).withColumns({"host": F.coalesce(host, F.lit("")), "path": F.coalesce(path, F.lit(""))})
     rows = rows.withColumn("_rule", match_rule(F.col("host"), F.col("path"), rules)).join(aliases, "_url", "left")
     verdict = F.coalesce(F.col("_rule")["verdict"], F.when(F.col("_alias"), "block"), F.lit("allow"))
     return rows.select("page_id", "host", "path", F.col("_rule")["rule"].alias("rule"), verdict.alias("verdict"))

@@ -8,7 +8,10 @@ import struct
 import numpy as np
 import pytest
 
+import duckdb
+
 import corpus_pipeline
+from parcelwise.llm.oracles import ORACLE
 from parcelwise.llm import packing, urls, warc
 from parcelwise.llm.common import new_path
 
@@ -43,6 +46,31 @@ def test_rules_and_aliases(spark):
     assert urls.judge_urls(pages(spark, []).limit(0)).count() == 0
 
 
+def test_relative_links_and_url_forms(spark):
+    head = '<link rel="canonical" href="{}">'
+    rows = [
+        (1, "http://blocked.net/es/x", head.format("http://a.org/y")),
+        (2, "http://a.org/deep/page", head.format("../y")),
+        (3, "HTTP://B.org:80", '<meta http-equiv=refresh content="0;url=http://a.org/deep/./../y">'),
+        (4, "http://c.org/list?id=1", head.format("?id=3")),
+        (5, "http://c.org/list?id=3", head.format("//a.org/y#top")),
+        (6, "http://b.org/", None),
+        (7, "http://d.org/s/t", head.format("page.html")),
+        (8, "http://d.org/s/page.html", head.format("mailto:x@a.org")),
+        (9, "http://d.org/s/other", head.format("javascript:go('http://a.org/y')")),
+        (10, "https://b.org/", head.format("#")),
+    ]
+    table = pages(spark, rows)
+    got = {r.page_id: r.verdict for r in urls.judge_urls(table).collect()}
+    assert {k for k, v in got.items() if v == "block"} == {1, 2, 3, 4, 5, 6}
+    edges = {tuple(r) for r in urls.page_links(table).collect()}
+    assert ("http://d.org/s/t", "http://d.org/s/page.html") in edges and not any(a.startswith("https") or "other" in a for a, _ in edges)
+    con = duckdb.connect()
+    con.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR, html VARCHAR)")
+    con.executemany("INSERT INTO pages VALUES (?, ?, ?)", rows)
+    assert {r[0]: r[-1] for r in con.execute(ORACLE["op3_url_filters"]).fetchall()} == got
+
+
 def test_archives_round_trip(spark):
     rows = [(i, f"http://x/{i}", f"<p>page {i % 7} " + "word " * (i % 50)) for i in range(300)]
     rows += [(1000, None, None), (1001, "a\nb: c", ""), (1002, "x", "same"), (1003, "y", "same"), (1004, "z", "a\r\n\r\nb"), (1005, "w", "x" * 2_000_000)]
