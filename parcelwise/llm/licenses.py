@@ -185,8 +185,14 @@ TEMPLATES: dict[str, tuple[str, list[str]]] = {
 }
 #: The label a template stands for, where it differs from its name.
 LABELS = {"gpl-work": "gpl", "mpl-2.0-version": "mpl-2.0", "mpl-2.0-bare": "mpl-2.0"} | {name: name.removesuffix("-text") for name in TEMPLATES if name.endswith("-text")}
-#: Inserted or missing words between two key phrases of a notice: up to half the template and this many.
+#: Inserted or missing words within a notice: up to half the template and this many. So wide is the band of relative positions.
 DRIFT = 16
+#: A template's rarest words vote for it: so many places, and the least share of their weight that must agree on a band.
+VOTERS, VOTED = 12, 0.6
+#: Least share of a template's words that must lie in order.
+MATCH = 0.8
+#: Weight of a word that every text holds.
+LEAST_IDF = 1e-3
 #: Comment words, numbers and bullets that open a line; the templates are looked up with and without them.
 LEAD = re.compile(rb"^[ \t]*+(?:dnl|rem|c|[0-9]{1,6}[.):]?|\(?[a-z0-9]{1,3}[.)])[ \t]++", re.I | re.M)
 
@@ -210,9 +216,10 @@ class Key:
 
 @dataclass(frozen=True)
 class Index:
-    """Templates as words, bit sets of each word's places, key phrases in order and the words' inverse document frequencies."""
+    """Templates as words, the postings of their rarest words, bit sets of each word's places, key phrases in order and idf of all words."""
 
     words: dict[str, list[bytes]]
+    voters: dict[str, list[tuple[bytes, int]]]
     bits: dict[str, dict[bytes, int]]
     keys: dict[str, list[Key]]
     idf: dict[bytes, float]
@@ -227,7 +234,8 @@ def build_index(templates: dict[str, tuple[str, list[str]]], counts: dict[bytes,
             places[word] = places.get(word, 0) | 1 << at
     split = {name: [words_of(k.encode()) for k in phrases] for name, (_, phrases) in templates.items()}
     phrases = [k for found in split.values() for k in found]
-    idf = {w: log((total + 1) / (counts.get(w, 0) + 1)) for x in [*words.values(), *phrases] for w in x}
+    idf = {w: max(log((total + 1) / (counts.get(w, 0) + 1)), LEAST_IDF) for x in [*words.values(), *phrases] for w in x}
+    voters = {name: sorted(((w, at) for at, w in enumerate(x)), key=lambda v: (-idf[v[0]], v[1]))[:VOTERS] for name, x in words.items()}
     keys: dict[str, list[Key]] = {}
     for name, found in split.items():
         keys[name], low = [], 0
@@ -236,7 +244,7 @@ def build_index(templates: dict[str, tuple[str, list[str]]], counts: dict[bytes,
             longer = [p for p in phrases if len(p) > len(k) and p[: len(k)] == k]
             keys[name].append(Key(k, place, max(range(len(k)), key=lambda i: (idf[k[i]], -i)), longer))
             low = place + len(k)
-    return Index(words, bits, keys, idf)
+    return Index(words, voters, bits, keys, idf)
 
 
 def _places(words: list[bytes], phrase: list[bytes], first: list[int]) -> list[int]:
@@ -269,14 +277,48 @@ def _chains(keys: list[Key], places: list[list[int]], drift: int) -> Iterator[tu
             yield low, high
 
 
+def drift_of(size: int) -> int:
+    return DRIFT + size // 2
+
+
+def voted_bands(voters: list[tuple[bytes, int]], at: dict[bytes, list[int]], idf: dict[bytes, float], drift: int) -> list[tuple[int, int]]:
+    """Ranges of relative positions that the rarest words of a template agree on.
+
+    Every place of a voter in the file votes for the start of the template that it implies. A
+    band of ``drift`` starts is voted if the voters with a start in it hold at least VOTED of the
+    weight of all; overlapping bands are joined.
+    """
+    need = VOTED * sum(idf[w] for w, _ in voters)
+    if sum(idf[w] for w, _ in voters if w in at) < need:
+        return []
+    starts = sorted((i - place, k) for k, (w, place) in enumerate(voters) for i in at.get(w, ()))
+    held, weight, first = [0] * len(voters), 0.0, 0
+    bands: list[tuple[int, int]] = []
+    for start, k in starts:
+        held[k] += 1
+        weight += idf[voters[k][0]] if held[k] == 1 else 0.0
+        while starts[first][0] < start - drift:
+            gone = starts[first][1]
+            held[gone] -= 1
+            weight -= idf[voters[gone][0]] if held[gone] == 0 else 0.0
+            first += 1
+        if weight >= need * (1 - 1e-9):
+            low = starts[first][0]
+            if bands and low <= bands[-1][1]:
+                bands[-1] = (bands[-1][0], start)
+            else:
+                bands.append((low, start))
+    return bands
+
+
 def scan(words: list[bytes], index: Index) -> dict[str, float]:
     """Templates found in a file with the share of their words that lie in order.
 
-    The places of the rarest word of each key phrase point to its candidates, which are
-    verified word by word; of two phrases that begin at one word the longer counts. A
-    template is found where all its key phrases follow each other within a band of
-    neighbouring relative positions, so inserted, missing or changed words elsewhere do not
-    lose it. The share is the longest common subsequence of template and stretch.
+    The file's places of each template's rarest words are looked up and their postings
+    intersected by relative position, summed over a band, so inserted or missing words shift
+    some votes without losing them. In a voted band all key phrases must follow each other
+    (of two phrases that begin at one word the longer counts), and at least MATCH of the
+    template's words must lie in order (longest common subsequence of template and stretch).
     """
     at: dict[bytes, list[int]] = {}
     idf = index.idf
@@ -285,6 +327,11 @@ def scan(words: list[bytes], index: Index) -> dict[str, float]:
             at.setdefault(word, []).append(i)
     found: dict[str, float] = {}
     for name, keys in index.keys.items():
+        sequence = index.words[name]
+        drift = drift_of(len(sequence))
+        bands = voted_bands(index.voters[name], at, idf, drift)
+        if not bands:
+            continue
         places = []
         for key in keys:
             anchor = key.words[key.anchor]
@@ -295,12 +342,18 @@ def scan(words: list[bytes], index: Index) -> dict[str, float]:
             places.append(held)
         if len(places) < len(keys):
             continue
-        sequence = index.words[name]
-        slack = len(sequence) // 10 + 1
-        for low, high in _chains(keys, places, DRIFT + len(sequence) // 2):
-            stretch = words[max(0, low - slack) : high + len(sequence) + slack]
-            found[name] = max(found.get(name, 0.0), _in_order(stretch, index.bits[name], len(sequence)) / len(sequence))
-            if found[name] == 1.0:
+        slack, ends = len(sequence) // 10 + 1, [high for _, high in bands]
+        for low, high in _chains(keys, places, drift):
+            near = bisect_left(ends, low - drift)
+            if near == len(bands) or bands[near][0] > high + drift:
+                continue
+            # The band's words belong to the notice, too, as far as it may drift.
+            first, last = max(min(low, bands[near][0]), low - drift), min(max(high, bands[near][1]), high + drift)
+            stretch = words[max(0, first - slack) : last + len(sequence) + slack]
+            share = _in_order(stretch, index.bits[name], len(sequence)) / len(sequence)
+            if share >= MATCH:
+                found[name] = max(found.get(name, 0.0), share)
+            if share == 1.0:
                 break
     return found
 
