@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catalog.inputs import ALPHA, HORIZON, W, Inputs, tidy
+from catalog.inputs import ALPHA, HORIZON, SIZES, W, Inputs, tidy
 from catalog.q_labels import active_labelled, confirmed_split, remember
 from catalog.sql import r, with_ctes
 from parcelwise.operators import labels as L
 from parcelwise.operators import model as M
 from parcelwise.operators import prototype as PR
+from parcelwise.operators import walkforward as WF
 from parcelwise.plans import windows as P
 from parcelwise.schemas import CUSTOMER, MODEL_FEATURES
 
@@ -47,11 +51,33 @@ def q_score(i: Inputs):
     return tidy(M.score(fitted(i), dataset(i), 0.5).select(CUSTOMER, "churn_probability", "threshold_used", "churn_flag"))
 
 
-def q_walk_forward(i: Inputs):
-    """Four features and the last folds only, to keep the check short; all rows are used."""
-    ends = P.valid_training_ends(i.months, W, HORIZON)
-    training = L.training_windows(i.features, i.customer_month, ends, W, HORIZON, ALPHA).persist()
-    return tidy(M.search_window({W: training}, 23, SMALL))
+@remember
+def search_rows(i: Inputs):
+    """Labelled windows of all sizes, features with nine digits: their last bits depend on the order of sums."""
+    sized = [L.training_windows(i.features, i.customer_month, P.valid_training_ends(i.months, w, HORIZON), w, HORIZON, ALPHA) for w in SIZES]
+    rows = reduce(DataFrame.unionByName, sized)
+    names = [f for f in MODEL_FEATURES if f in rows.columns]
+    return rows.select("_W", "_end_month", "y_raw", *[(F.round(F.col(f).cast("double"), 9) + 0.0).alias(f) for f in names])
+
+
+def with_end(df):
+    """The end month as ``YYMM`` instead of its index."""
+    key = F.format_string("%02d%02d", F.floor(F.col("end_idx") / 12).cast("int") % 100, F.col("end_idx") % 12 + 1)
+    return df.withColumn("window_end", key).drop("end_idx")
+
+
+def q_walk_forward_folds(i: Inputs):
+    return tidy(with_end(WF.fold_counts(WF.fold_rows(search_rows(i), []))))
+
+
+def q_walk_forward_scaler(i: Inputs):
+    names = [f for f in MODEL_FEATURES if f in search_rows(i).columns]
+    return tidy(with_end(WF.fold_scalers(WF.fold_rows(search_rows(i), names), names)), 4)
+
+
+@remember
+def walk_forward(i: Inputs):
+    return WF.walk_forward_auc(search_rows(i))
 
 
 QUERIES = {
@@ -61,7 +87,12 @@ QUERIES = {
     "train_churn_model": lambda i: tidy(M.evaluate_model(fitted(i), dataset(i))),
     "feature_importance": lambda i: tidy(M.feature_importance(fitted(i), dataset(i).features, i.spark)),
     "score": q_score,
-    "walk_forward_auc": q_walk_forward,
+    "search_sizes": lambda i: tidy(P.search_sizes(i.months, W, HORIZON, 5)),
+    "walk_forward_folds": q_walk_forward_folds,
+    "walk_forward_scaler": q_walk_forward_scaler,
+    "walk_forward_auc": lambda i: tidy(with_end(walk_forward(i))),
+    "search_window": lambda i: tidy(WF.search_window(walk_forward(i), SIZES)),
+    "best_window": lambda i: tidy(WF.search_window(walk_forward(i), SIZES).select(F.lit(M.best_window(WF.search_window(walk_forward(i), SIZES))).alias("w_star")).distinct()),
 }
 
 _MEM = "mem AS (SELECT * FROM features WHERE window_size = 3 AND window_end = '0105' AND cms_code_enc IN (SELECT cms_code_enc FROM confirmed))"

@@ -38,6 +38,12 @@ def window_sizes(months: DataFrame, smallest: int, largest: int | None = None) -
     return bounds.filter("low <= top").select(F.explode(F.sequence("low", "top")).alias("window_size"))
 
 
+def search_sizes(months: DataFrame, smallest: int, horizon: int, min_train_windows: int) -> DataFrame:
+    """Sizes that leave ``min_train_windows`` windows to train on, one to validate and the horizon; at least the smallest."""
+    top = F.greatest(F.lit(smallest), F.count(F.lit(1)) - (horizon + min_train_windows - 1))
+    return months.agg(top.cast("int").alias("top")).select(F.explode(F.sequence(F.lit(smallest), "top")).alias("window_size"))
+
+
 def month_plan(bounds: DataFrame, smallest: int = 3, largest: int | None = None) -> DataFrame:
     """Months and window sizes as one long table ``(kind, month, window_size)``."""
     months = month_range(bounds)
