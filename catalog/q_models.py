@@ -17,6 +17,8 @@ from parcelwise.operators import walkforward as WF
 from parcelwise.plans import windows as P
 from parcelwise.schemas import CUSTOMER, MODEL_FEATURES
 
+#: Added before rounding: means of short decimals lie on ties, where the last bit would decide.
+OFF_TIES = 3.7e-7
 SMALL = ["item_sum", "revenue_avg", "pct_delay", "recency"]
 
 
@@ -72,7 +74,9 @@ def q_walk_forward_folds(i: Inputs):
 
 def q_walk_forward_scaler(i: Inputs):
     names = [f for f in MODEL_FEATURES if f in search_rows(i).columns]
-    return tidy(with_end(WF.fold_scalers(WF.fold_rows(search_rows(i), names), names)), 4)
+    large = F.col("feature").rlike("revenue|monetary")
+    digits = {c: F.when(large, F.round(F.col(c) + OFF_TIES, 1)).otherwise(F.round(F.col(c) + OFF_TIES, 5)) + 0.0 for c in ("mean", "scale")}
+    return with_end(WF.fold_scalers(WF.fold_rows(search_rows(i), names), names).withColumns(digits)).withColumn("window_size", F.col("window_size").cast("bigint"))
 
 
 @remember
@@ -96,7 +100,26 @@ QUERIES = {
 }
 
 _MEM = "mem AS (SELECT * FROM features WHERE window_size = 3 AND window_end = '0105' AND cms_code_enc IN (SELECT cms_code_enc FROM confirmed))"
+
+
+def _scaler_sql() -> str:
+    def digits(f: str) -> int:
+        return 1 if "revenue" in f or "monetary" in f else 5
+
+    def scale(f: str) -> str:
+        return r(f"CASE WHEN max({f}) > min({f}) THEN stddev_pop({f}::DOUBLE) ELSE 1 END + {OFF_TIES}", digits(f))
+
+    wide = ", ".join(f"{r(f'avg({f}::DOUBLE) + {OFF_TIES}', digits(f))} AS m_{f}, {scale(f)} AS s_{f}" for f in MODEL_FEATURES)
+    rows = " UNION ALL ".join(f"SELECT window_size::BIGINT AS window_size, window_end, '{f}' AS feature, m_{f} AS mean, s_{f} AS scale FROM w" for f in MODEL_FEATURES)
+    return f""", w AS MATERIALIZED (SELECT m.window_size, m.window_end, {wide} FROM search_months m JOIN search_rows t ON t.window_size = m.window_size AND t.e < m.e GROUP BY ALL) {rows}"""
+
+
 ORACLE = {
+    "search_sizes": with_ctes("SELECT unnest(generate_series(3, greatest(3, (SELECT count(*) FROM months) - 2 - 5 + 1))) AS window_size", "months"),
+    "walk_forward_folds": with_ctes(
+        """SELECT window_size::BIGINT AS window_size, window_end, n_train::BIGINT AS n_train, pos_train::BIGINT AS pos_train, n_held, pos_held FROM search_months
+WHERE no > 5 AND pos_train BETWEEN 1 AND n_train - 1 AND pos_held BETWEEN 1 AND n_held - 1""", "search_months"),
+    "walk_forward_scaler": with_ctes(_scaler_sql(), "search_months"),
     "prototype_moments": with_ctes(
         f", {_MEM} " + " UNION ALL ".join(
             f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, count(*) AS n, {r(f'avg({a}::DOUBLE)', 4)} AS mean_a, {r(f'covar_samp({a}::DOUBLE, {b}::DOUBLE)', 4)} AS cov FROM mem" for a in SMALL for b in SMALL
