@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from catalog.inputs import EDA_FEATURES, Inputs, tidy
 from catalog.q_labels import remember
 from catalog.sql import r, with_ctes
+from parcelwise.functions.lineage import scratch_path
 from parcelwise.operators import drift as D
 from parcelwise.operators import eda as E
-from parcelwise.sources.upsert import merge_by_key
+from parcelwise.plans import report as RP
 
 PAIR = RANKED = EDA_FEATURES
 STATS = ["mean", "median", "std", "skew", "kurtosis", "min_val", "max_val", "p5", "p25", "p50", "p75", "p95"]
@@ -56,12 +60,21 @@ def q_save_baseline(i: Inputs):
 
 
 def q_persist_report(i: Inputs):
-    """Stored feature statistics after a second run replaced its own rows."""
-    rows = E.merged_feature_stats(stats(i), E.missing_stats(i.eda, EDA_FEATURES), outliers(i)).withColumn("run_id", F.lit("r1"))
-    old = rows.select("run_id", "feature_name", "count", "missing_count").withColumn("count", F.lit(0).cast("bigint"))
-    kept = old.withColumn("run_id", F.lit("r0"))
-    new = rows.select("run_id", "feature_name", "count", "missing_count")
-    return tidy(merge_by_key(old.unionByName(kept), new, ["run_id", "feature_name"]))
+    """Stored statistics after a second run replaced its own tables and a third one died between two tables."""
+    root = scratch_path(i.spark, "report")
+    full = RP.EdaReport(
+        stats(i), E.missing_stats(i.eda, EDA_FEATURES), E.missing_patterns(i.eda, EDA_FEATURES), outliers(i), pairs(i), E.high_correlations(pairs(i), 0.5),
+        point_biserial=E.point_biserial(i.eda, EDA_FEATURES, "target"), iv=iv(i), metadata={"n_features": len(EDA_FEATURES)},
+    )
+    zero = replace(full, descriptive=stats(i).withColumn("count", F.lit(0).cast("bigint")))
+    for run, report in (("r0", zero), ("r1", zero), ("r1", full)):
+        RP.persist_report(report, run, root)
+    broken = replace(zero, iv=iv(i).drop("iv"))
+    try:
+        RP.persist_report(broken, "r1", root)
+    except AnalysisException:
+        pass  # the tables before the broken one are written, but never seen
+    return tidy(RP.read_report(i.spark, root, "feature_stats").select("run_id", "feature_name", "count", "missing_count"))
 
 
 def q_chart_rows(i: Inputs):

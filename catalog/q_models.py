@@ -7,52 +7,77 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catalog.inputs import ALPHA, HORIZON, SIZES, W, Inputs, tidy
+from catalog.inputs import ALPHA, END_KEY, HORIZON, SIZES, W, Inputs, tidy
 from catalog.q_labels import active_labelled, confirmed_split, remember
-from catalog.sql import r, with_ctes
+from catalog.sql import model_column, r, with_ctes
+from parcelwise.functions.lineage import scratch_path
+from parcelwise.operators import features as X
 from parcelwise.operators import labels as L
 from parcelwise.operators import model as M
 from parcelwise.operators import prototype as PR
 from parcelwise.operators import walkforward as WF
+from parcelwise.plans import churn, runs
 from parcelwise.plans import windows as P
 from parcelwise.schemas import CUSTOMER, MODEL_FEATURES
 
 #: Added before rounding: means of short decimals lie on ties, where the last bit would decide.
 OFF_TIES = 3.7e-7
-SMALL = ["item_sum", "revenue_avg", "pct_delay", "recency"]
+LEAD_KEY = "0105"  # the window that ends two months before the newest one
+
+
+@remember
+def sized(i: Inputs):
+    """All windows of the model's size with their smoothed signals."""
+    return X.ewma(i.features.filter(F.col("window_size") == W), W, ALPHA)
 
 
 @remember
 def proto(i: Inputs):
-    rows = i.features.filter("window_size = 3 and window_end = '0105'")
-    return PR.fit_prototype(rows, i.confirmed, features=SMALL)
+    return PR.fit_prototype(sized(i).filter(F.col("window_end") == LEAD_KEY), i.confirmed, features=MODEL_FEATURES)
 
 
 @remember
 def dataset(i: Inputs):
-    return L.final_dataset(active_labelled(i), None, confirmed_split(i)[1], MODEL_FEATURES)
+    """Active customers of the newest window and the labelled windows of all earlier months."""
+    ends = P.valid_training_ends(i.months, W, HORIZON)
+    history = L.training_windows(i.features, i.customer_month, ends, W, HORIZON, ALPHA, 5)
+    ds = L.final_dataset(X.ewma(active_labelled(i), W, ALPHA), history, confirmed_split(i)[1], MODEL_FEATURES)
+    ds.metadata = {"run_month": int(END_KEY), "horizon": HORIZON, "w_star": W, "train_reference": L.training_rows(ds.active, history, ds.features).select(CUSTOMER, *ds.features)}
+    return ds
 
 
 @remember
 def fitted(i: Inputs):
-    return M.train_churn_model(dataset(i), maxIter=5, maxDepth=3, stepSize=0.3)
+    """The production booster on all features and rows."""
+    return M.train_churn_model(dataset(i))
 
 
 def q_prototype_moments(i: Inputs):
-    rows = i.features.filter("window_size = 3 and window_end = '0105'").join(i.confirmed.select(CUSTOMER), CUSTOMER, "left_semi")
-    moments = PR.prototype_moments(L.feature_projection(rows, SMALL), SMALL)
-    return tidy(moments.select("feature_a", "feature_b", F.col("n").cast("bigint").alias("n"), "mean_a", "cov"), 4)
+    rows = sized(i).filter(F.col("window_end") == LEAD_KEY).join(i.confirmed.select(CUSTOMER), CUSTOMER, "left_semi")
+    moments = PR.prototype_moments(L.feature_projection(rows, MODEL_FEATURES), MODEL_FEATURES)
+    return tidy(moments.select("feature_a", "feature_b", F.col("n").cast("bigint").alias("n"), (F.col("mean_a") + OFF_TIES).alias("mean_a"), (F.col("cov") + OFF_TIES).alias("cov")), 4, cov=1)
 
 
 def q_similarity_scores(i: Inputs):
-    rows = i.features.filter("window_size = 3")
-    return tidy(PR.similarity_scores(rows, proto(i)).select(CUSTOMER, "window_end", "sim_score"))
+    return tidy(PR.similarity_scores(sized(i), proto(i)).select(CUSTOMER, "window_end", "sim_score"))
 
 
 def q_score(i: Inputs):
     return tidy(M.score(fitted(i), dataset(i), 0.5).select(CUSTOMER, "churn_probability", "threshold_used", "churn_flag"))
 
 
+def q_churn_run(i: Inputs):
+    """Two stored runs, the second against the first: what the manifest shows of each and all stored rows."""
+    root = scratch_path(i.spark, "churn-run")
+    limits = {"min_f05": 0.0, "min_pr_auc": 0.0}
+    for run in ("r1", "r2"):
+        churn.run_and_store(dataset(i), root, run, limits=limits)
+    newest = runs.read_manifest(i.spark, root).select("run_id", "status", F.size("tables").alias("n_tables"), "notes")
+    names = ["config_history", "feature_drift", "feature_importance", "risk_predictions", "score_drift"]
+    sizes = i.spark.range(1).select(*[runs.read_table(i.spark, root, n).agg(F.count(F.lit(1))).scalar().alias(n) for n in names])
+    return tidy(newest.join(F.broadcast(sizes)))  # one row of counts
+
+
 @remember
 def search_rows(i: Inputs):
     """Labelled windows of all sizes, features with nine digits: their last bits depend on the order of sums."""
@@ -91,6 +116,7 @@ QUERIES = {
     "train_churn_model": lambda i: tidy(M.evaluate_model(fitted(i), dataset(i))),
     "feature_importance": lambda i: tidy(M.feature_importance(fitted(i), dataset(i).features, i.spark)),
     "score": q_score,
+    "churn_run": q_churn_run,
     "search_sizes": lambda i: tidy(P.search_sizes(i.months, W, HORIZON, 5)),
     "walk_forward_folds": q_walk_forward_folds,
     "walk_forward_scaler": q_walk_forward_scaler,
@@ -99,7 +125,9 @@ QUERIES = {
     "best_window": lambda i: tidy(WF.search_window(walk_forward(i), SIZES).select(F.lit(M.best_window(WF.search_window(walk_forward(i), SIZES))).alias("w_star")).distinct()),
 }
 
-_MEM = "mem AS (SELECT * FROM features WHERE window_size = 3 AND window_end = '0105' AND cms_code_enc IN (SELECT cms_code_enc FROM confirmed))"
+_MEM = f"(SELECT * FROM features WHERE window_size = {W} AND window_end = '{LEAD_KEY}' AND cms_code_enc IN (SELECT cms_code_enc FROM confirmed))"
+_WIDE = f"mem AS MATERIALIZED (SELECT cms_code_enc, {', '.join(model_column(f) for f in MODEL_FEATURES)} FROM {_MEM})"
+_LONG = "cells AS MATERIALIZED (" + " UNION ALL ".join(f"SELECT cms_code_enc AS id, '{f}' AS f, coalesce({f}, 0)::DOUBLE AS v FROM mem" for f in MODEL_FEATURES) + ")"
 
 
 def _scaler_sql() -> str:
@@ -121,7 +149,6 @@ ORACLE = {
 WHERE no > 5 AND pos_train BETWEEN 1 AND n_train - 1 AND pos_held BETWEEN 1 AND n_held - 1""", "search_months"),
     "walk_forward_scaler": with_ctes(_scaler_sql(), "search_months"),
     "prototype_moments": with_ctes(
-        f", {_MEM} " + " UNION ALL ".join(
-            f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, count(*) AS n, {r(f'avg({a}::DOUBLE)', 4)} AS mean_a, {r(f'covar_samp({a}::DOUBLE, {b}::DOUBLE)', 4)} AS cov FROM mem" for a in SMALL for b in SMALL
-        ), "features", "confirmed"),
+        f""", {_WIDE}, {_LONG} SELECT a.f AS feature_a, b.f AS feature_b, count(*) AS n, {r(f'avg(a.v) + {OFF_TIES}', 4)} AS mean_a, {r(f'covar_samp(a.v, b.v) + {OFF_TIES}', 1)} AS cov
+FROM cells a JOIN cells b ON a.id = b.id GROUP BY ALL""", "features", "confirmed"),
 }

@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelwise.functions.lineage import cut
 from parcelwise.operators import drift as D
 from parcelwise.operators import eda as E
+from parcelwise.plans import runs
 from parcelwise.sources.upsert import merge_by_key
 
 
@@ -115,26 +115,22 @@ def report_tables(report: EdaReport, run_id: str) -> dict[str, DataFrame]:
 
 
 def persist_report(report: EdaReport, run_id: str, path: str) -> None:
-    """Merge the tables of a run into the stored ones.
+    """Store the tables of a run as a unit.
 
-    Tables are written next to each other as ``part=<run>``; a repeated run replaces
-    its own part only, which is the merge by key.
+    Readers see all tables of a run or none, and a repeated run replaces all its tables.
     """
-    for name, df in report_tables(report, run_id).items():
-        (
-            df.withColumn("part", F.col("run_id"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("part")
-            .parquet(f"{path}/{name}")
-        )
+    spark = report.descriptive.sparkSession
+    attempt = runs.start(spark, path, run_id)
+    try:
+        runs.publish(spark, path, run_id, attempt, report_tables(report, run_id))
+    except Exception as error:
+        runs.fail(spark, path, run_id, attempt, error)
+        raise
 
 
 def read_report(spark, path: str, name: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(f"{path}/{name}").drop("part")
-    except AnalysisException:
-        return None
+    """The stored rows of one table, of whole runs only."""
+    return runs.read_table(spark, path, name)
 
 
 def merge_report_rows(stored: DataFrame, new: DataFrame, name: str) -> DataFrame:
