@@ -22,6 +22,7 @@ from parcelwise.schemas import CUSTOMER, MODEL_FEATURES
 
 #: Added before rounding: means of short decimals lie on ties, where the last bit would decide.
 OFF_TIES = 3.7e-7
+SHORT = {"maxIter": 5, "maxDepth": 3, "stepSize": 0.3}  # the stored run is the feature here; the model queries boost in full
 LEAD_KEY = "0105"  # the window that ends two months before the newest one
 
 
@@ -52,10 +53,15 @@ def fitted(i: Inputs):
     return M.train_churn_model(dataset(i))
 
 
+def log_size(name: str):
+    """Signed logarithm: moments span twelve orders of magnitude, six digits of it fit them all."""
+    return (F.signum(name) * F.log1p(F.abs(name))).alias(f"log_{name}")
+
+
 def q_prototype_moments(i: Inputs):
     rows = sized(i).filter(F.col("window_end") == LEAD_KEY).join(i.confirmed.select(CUSTOMER), CUSTOMER, "left_semi")
     moments = PR.prototype_moments(L.feature_projection(rows, MODEL_FEATURES), MODEL_FEATURES)
-    return tidy(moments.select("feature_a", "feature_b", F.col("n").cast("bigint").alias("n"), (F.col("mean_a") + OFF_TIES).alias("mean_a"), (F.col("cov") + OFF_TIES).alias("cov")), 4, cov=1)
+    return tidy(moments.select("feature_a", "feature_b", F.col("n").cast("bigint").alias("n"), log_size("mean_a"), log_size("cov")))
 
 
 def q_similarity_scores(i: Inputs):
@@ -71,7 +77,7 @@ def q_churn_run(i: Inputs):
     root = scratch_path(i.spark, "churn-run")
     limits = {"min_f05": 0.0, "min_pr_auc": 0.0}
     for run in ("r1", "r2"):
-        churn.run_and_store(dataset(i), root, run, limits=limits)
+        churn.run_and_store(dataset(i), root, run, booster=SHORT, limits=limits)
     newest = runs.read_manifest(i.spark, root).select("run_id", "status", F.size("tables").alias("n_tables"), "notes")
     names = ["config_history", "feature_drift", "feature_importance", "risk_predictions", "score_drift"]
     sizes = i.spark.range(1).select(*[runs.read_table(i.spark, root, n).agg(F.count(F.lit(1))).scalar().alias(n) for n in names])
@@ -149,6 +155,6 @@ ORACLE = {
 WHERE no > 5 AND pos_train BETWEEN 1 AND n_train - 1 AND pos_held BETWEEN 1 AND n_held - 1""", "search_months"),
     "walk_forward_scaler": with_ctes(_scaler_sql(), "search_months"),
     "prototype_moments": with_ctes(
-        f""", {_WIDE}, {_LONG} SELECT a.f AS feature_a, b.f AS feature_b, count(*) AS n, {r(f'avg(a.v) + {OFF_TIES}', 4)} AS mean_a, {r(f'covar_samp(a.v, b.v) + {OFF_TIES}', 1)} AS cov
+        f""", {_WIDE}, {_LONG} SELECT a.f AS feature_a, b.f AS feature_b, count(*) AS n, {r('sign(avg(a.v)) * ln(1 + abs(avg(a.v)))')} AS log_mean_a, {r('sign(covar_samp(a.v, b.v)) * ln(1 + abs(covar_samp(a.v, b.v)))')} AS log_cov
 FROM cells a JOIN cells b ON a.id = b.id GROUP BY ALL""", "features", "confirmed"),
 }
