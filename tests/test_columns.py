@@ -92,3 +92,26 @@ def test_student_t_tail():
     assert two_sided_p(2.228138852, 10) == pytest.approx(0.05, abs=1e-9)
     assert two_sided_p(12.7062047, 1) == pytest.approx(0.05, abs=1e-8)
     assert two_sided_p(1.959963985, 1e7) == pytest.approx(0.05, abs=1e-6)
+
+
+ODD_TEXTS = [
+    "2001/02/03", "03-02-2001", "2001-2-3 4:5:6", " 2001-02-03\t", "2001-02-03 ", "2001-02-03 \u0085", "2001-02-03\u2028", "x 2001-02-03", "2001-02/03", "\x012001\x01-\x012",
+    "2001-02-03 04:05", "2001-02-03 24:00:00", "2001-02-03 04:05:06.", "2001-02-03 04:05:06.7", "", " ", "nan", None,
+]
+
+
+def test_dates_are_matched_once_and_absent_times_not_cast(spark):
+    """Eight matches of a text, and an exception for each absent hour, minute and second, took most of the typing time."""
+    fields = [F.regexp_extract(F.regexp_replace("s", r"^\s+|\s+$", ""), C.DATE_SHAPE, k) for k in range(1, 9)]
+    rows = spark.createDataFrame([(v,) for v in ODD_TEXTS], "s string")
+    typed = rows.select("s", C.normalize_datetime(F.col("s")).alias("got"), C._stamp(*fields).alias("want"))
+    assert [r for r in typed.collect() if r["got"] != r["want"]] == []
+    plan = rows.select(C.normalize_datetime(F.col("s")).alias("t"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract" not in plan
+
+
+def test_plain_texts_are_trimmed_without_a_pattern(spark):
+    rows = spark.createDataFrame([(v,) for v in [*ODD_TEXTS, "a \u2029", " \x0b a\f\r\n", "a\u0085 ", "\u0085", " \u0085", "\u00a0a "]], "s string")
+    both = rows.select(C._strip(F.col("s")).alias("got"), F.regexp_replace("s", r"^\s+|\s+$", "").alias("want"))
+    assert [r for r in both.collect() if r["got"] != r["want"]] == []
+    assert "trim(" in rows.select(C._strip(F.col("s")))._jdf.queryExecution().optimizedPlan().toString()
