@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from catalog.inputs import Inputs
+from parcelwise.operators import features as X
 
 FIRST, LAST = "2000-11-01", "2001-07-31"
 
@@ -45,3 +46,9 @@ def test_one_window_equals_its_part_of_all(own):
         assert alone.columns == part.columns and alone.count() == part.count() > 5
         rounded = lambda df: df.select(*[F.round(c, 9).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
         assert rounded(alone).exceptAll(rounded(part)).isEmpty() and rounded(part).exceptAll(rounded(alone)).isEmpty()
+
+
+def test_tasks_get_bounded_parts(spark, own):
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "8m"
+    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert own.shipments.transform(X.by_customer).rdd.getNumPartitions() > usual
