@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from parcelwise.functions import prefix
 from parcelwise.functions.prefix import bucketed, positions, running_totals
-from parcelwise.functions.quantiles import average_ranks, exact_quantiles, hash_sample
+from parcelwise.functions import quantiles
+from parcelwise.functions.quantiles import average_ranks, column_quantiles, exact_quantiles, hash_sample
 
 
 @pytest.fixture(scope="module")
@@ -84,3 +85,30 @@ def test_quantiles_of_few_values(spark, n):
     probs = [0.0, 0.01, 0.25, 0.5, 0.9, 0.99, 1.0]
     got = exact_quantiles(spark.createDataFrame(pd.DataFrame({"k": "a", "v": x})), ["k"], "v", probs).first()
     np.testing.assert_allclose(got["quantiles"], np.quantile(x, probs), rtol=0, atol=1e-12)
+
+
+@pytest.mark.parametrize("cells", [None, 300])
+def test_column_quantiles(spark, cells, monkeypatch):
+    """Ties, negative numbers, one value, gaps, no value at all, and keys; also where tasks hold a few rows only."""
+    if cells:
+        monkeypatch.setattr(quantiles, "CHUNK_ROWS", cells)
+    rng, n = np.random.default_rng(3), 4000
+    x = pd.DataFrame({"m": rng.choice(["a", "b", "c"], n), "v": rng.normal(size=n) * 10.0 ** rng.integers(-9, 9, n), "t": rng.integers(-3, 4, n).astype(float), "one": 7.0})
+    x["gap"] = np.where(rng.random(n) < 0.7, np.nan, rng.exponential(size=n))
+    x["none"] = np.nan
+    names, probs = ["v", "t", "one", "gap", "none"], [0.5, 0.0, 0.05, 0.25, 0.5, 0.99, 1.0]
+    df = spark.createDataFrame(x).withColumn("v", F.when(F.rand(1) > 2, 0.0).otherwise(F.col("v"))).repartition(4)
+    got = {r["feature"]: r for r in column_quantiles(df, names, probs).collect()}
+    assert set(got) == {"v", "t", "one", "gap"}
+    for f, r in got.items():
+        known = x[f].dropna()
+        assert r["n"] == len(known)
+        np.testing.assert_allclose(r["quantiles"], np.quantile(known, probs), rtol=1e-12, atol=1e-300)
+    by = column_quantiles(df.unionByName(df.limit(3).withColumn("m", F.lit(None).cast("string"))), names, [0.5, 0.9], ["m"]).collect()
+    assert len(by) == 12
+    for r in by:
+        known = x[r["feature"]][x["m"] == r["m"]].dropna()
+        assert r["n"] == len(known)
+        np.testing.assert_allclose(r["quantiles"], np.quantile(known, [0.5, 0.9]), rtol=1e-12)
+    plan = column_quantiles(df, names, probs)._jdf.queryExecution().analyzed().toString()
+    assert "Expand" not in plan and "Unpivot" not in plan
