@@ -2,6 +2,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
+from parcelwise.functions.quantiles import average_ranks
 from parcelwise.operators import drift as D
 from parcelwise.operators import eda as E
 from parcelwise.plans import report as RP
@@ -182,3 +183,17 @@ def test_spearman_shuffles_do_not_grow_with_the_columns(spark):
         return plan.count("Exchange ")
 
     assert exchanges(9) <= exchanges(3) + 2
+
+
+def test_spearman_ranks_each_known_cell_once(spark, monkeypatch):
+    rows = [[None if (i + j) % 3 == 0 else float(i * (j + 1) % 11) for j in range(3)] + [float(i % 5)] for i in range(60)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double")
+    seen = []
+
+    def spy(long, *rest):
+        seen.append(long.count())
+        return average_ranks(long, *rest)
+
+    monkeypatch.setattr(E, "average_ranks", spy)
+    E.correlation_matrix(df, list("abcd"), "spearman").collect()
+    assert seen == [sum(v is not None for r in rows for v in r)]
