@@ -139,3 +139,15 @@ def test_month_plan_sizes(spark):
     assert sizes("2025-08-20", 3, 4) == [3, 4]
     assert sizes("2025-04-20", 3, None) == []
     assert sizes("2025-01-20", 3, None) == [1]
+
+
+def test_windows_are_grouped_by_numbers(spark, data):
+    """The window's texts and dates are no part of the grouping of many copied rows."""
+    _, df, _, _ = data
+    specs = P.specs_between(spark, START, END, [2, 3])
+    base = X.window_base(R.monthly_rollup(df, START, END, with_days=True), specs, 3)
+    plan = base._jdf.queryExecution().optimizedPlan().toString()
+    grouped = next(line for line in plan.splitlines() if "Aggregate [" in line and "window_size" in line)
+    keys = grouped.split("Aggregate [")[1].split("]")[0]
+    assert "end_idx" in keys and not any(c in keys for c in ("window_start", "window_end", "start_date", "end_date"))
+    assert set(specs.columns) <= set(base.columns) | {"start_idx"}
