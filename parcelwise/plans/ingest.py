@@ -54,15 +54,14 @@ def read_ingested(spark: SparkSession, root: str, base: str) -> DataFrame:
     return rows.join(F.broadcast(valid), ["period", "run"]).select(*typed.columns)
 
 
-def _outcomes(rows: DataFrame, good: DataFrame, bad: DataFrame, todo: DataFrame) -> DataFrame:
-    """One row per archive: counts, status and reason. Unreadable parts and wrong headers fail a whole archive."""
-    fatal = F.when(F.col("reason") != "cells", F.struct("reason", F.coalesce("error", "member").alias("detail")))
-    per_bad = bad.groupBy("archive").agg(F.count(F.lit(1)).alias("rejected"), F.min(fatal).alias("fatal"))
-    per_good = good.groupBy("archive").agg(F.count(F.lit(1)).alias("rows"))
-    seen = rows.groupBy("archive").agg(F.count("member").alias("records"))
-    joined = todo.withColumnRenamed("name", "archive")
-    for part in (seen, per_good, per_bad):
-        joined = joined.join(part, "archive", "left")
+def _outcomes(marked: DataFrame, todo: DataFrame) -> DataFrame:
+    """One row per archive: counts, status and reason, in one pass. Unreadable parts and wrong headers fail a whole archive."""
+    data, rejected = F.col("is_data"), F.col("reason").isNotNull()
+    fatal = F.when(data & (F.col("reason") != "cells"), F.struct("reason", F.coalesce("error", "member").alias("detail")))
+    found = marked.groupBy("archive").agg(
+        F.count("member").alias("records"), F.count_if(data & ~rejected).alias("rows"), F.count_if(data & rejected).alias("rejected"), F.min(fatal).alias("fatal")
+    )
+    joined = todo.withColumnRenamed("name", "archive").join(found, "archive", "left")
     failed = F.col("fatal").isNotNull()
     none = F.coalesce(F.col("records"), F.lit(0)) == 0
     return joined.select(
@@ -79,7 +78,7 @@ def _load_base(spark: SparkSession, root: str, run: str, base: str, todo: DataFr
     names = mine.select(F.col("name").alias("archive"))
     rows = spark.read.schema(L.ARCHIVE_ROWS).parquet(f"{root}/staged/{run}").join(F.broadcast(names), "archive")
     good, bad = L.parse_rows(rows, base)
-    outcome = cut(_outcomes(rows, good, bad, mine))
+    outcome = cut(_outcomes(L.mark_rows(rows, base), mine))
     fine = outcome.filter("status = 'success'").select(F.col("zip_name").alias("archive"), F.col("period_key").cast("int").alias("period"))
     guarded = L.guard_csv_injection(good.join(F.broadcast(fine), "archive"), TEXT_COLUMNS[base], injection)
     typed = L.TRANSFORMS[base](guarded, keep=["period"]).withColumn("run", F.lit(run))

@@ -9,11 +9,13 @@ from collections.abc import Iterator, Sequence
 from urllib.parse import unquote
 
 import pandas as pd
+import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from parcelwise.functions import columns as C
+from parcelwise.functions.lineage import cut
 from parcelwise.schemas import CUSTOMER, HEADERS, TYPED_KINDS
 
 # --- fixed values: file name patterns
@@ -250,12 +252,14 @@ def read_archives(files: DataFrame, *, sep: str = ";") -> DataFrame:
 
     Only paths are shuffled. One step reads the directory of each archive, the next one streams
     every member where it lies, so members of one large archive are read by several tasks and
-    neither an archive nor a member is held in memory. Quoted line breaks stay inside their cell.
+    neither an archive nor a member is held in memory. There is a task per member: adaptive execution
+    judges by the few bytes of the paths and would join members into a few tasks, so their number is given.
+    Quoted line breaks stay inside their cell.
     What cannot be read (a broken archive, bytes that are no UTF-8) becomes a row with ``error``
     after the rows read before it. An archive without CSV members has one row without a member.
     """
-    members = files.select("path").repartition("path").mapInPandas(_members, "path string, member string, error string")
-    return members.repartition("path", "member").mapInPandas(lambda batches: _unzip(batches, sep), ARCHIVE_ROWS)
+    members = cut(files.select("path").repartition("path").mapInPandas(_members, "path string, member string, error string"))
+    return members.repartition(max(1, members.count())).mapInArrow(lambda batches: _unzip(batches, sep), ARCHIVE_ROWS)
 
 
 _READ_ERRORS = (zipfile.BadZipFile, OSError, RuntimeError, NotImplementedError, ValueError, csv.Error)
@@ -278,36 +282,39 @@ def _members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame(rows, columns=["path", "member", "error"], dtype=object)
 
 
-def _unzip(batches: Iterator[pd.DataFrame], sep: str, chunk: int = 20_000) -> Iterator[pd.DataFrame]:
-    columns = ["archive", "member", "row_no", "cells", "error"]
-    for pdf in batches:
-        for path, member, broken in pdf.itertuples(index=False):
-            archive, buffer = unquote(path.rsplit("/", 1)[-1]), []
+def _unzip(batches: Iterator[pa.RecordBatch], sep: str, chunk: int = 20_000) -> Iterator[pa.RecordBatch]:
+    names, text = ["archive", "member", "row_no", "cells", "error"], pa.string()
+
+    def rows(archive: str, member: str | None, first: int | None, cells: list, error: str | None = None) -> pa.RecordBatch:
+        n = len(cells)
+        numbers = range(first, first + n) if first is not None else [None] * n
+        columns = [pa.array([archive] * n, text), pa.array([member] * n, text), pa.array(numbers, pa.int64()), pa.array(cells, pa.list_(text)), pa.array([error] * n, text)]
+        return pa.RecordBatch.from_arrays(columns, names)
+
+    for batch in batches:
+        for path, member, broken in zip(*(batch.column(k).to_pylist() for k in ("path", "member", "error")), strict=True):
+            archive, first, buffer, failed = unquote(path.rsplit("/", 1)[-1]), 1, [], None
             if member is None:
-                yield pd.DataFrame([(archive, None, None, None, broken)], columns=columns)
+                yield rows(archive, None, None, [None], broken)
                 continue
             try:
                 with _open(path) as raw, zipfile.ZipFile(raw) as z:
-                    with z.open(member) as data, io.TextIOWrapper(data, "utf-8-sig", newline="") as text:
-                        for no, cells in enumerate(csv.reader(text, delimiter=sep), start=1):
-                            buffer.append((archive, member, no, cells, None))
+                    with z.open(member) as data, io.TextIOWrapper(data, "utf-8-sig", newline="") as lines:
+                        for cells in csv.reader(lines, delimiter=sep):
+                            buffer.append(cells)
                             if len(buffer) >= chunk:
-                                yield pd.DataFrame(buffer, columns=columns)
-                                buffer = []
+                                yield rows(archive, member, first, buffer)
+                                first, buffer = first + len(buffer), []
             except _READ_ERRORS as error:
-                buffer.append((archive, member, None, None, f"{type(error).__name__}: {error}"))
+                failed = f"{type(error).__name__}: {error}"
             if buffer:
-                yield pd.DataFrame(buffer, columns=columns)
+                yield rows(archive, member, first, buffer)
+            if failed is not None:
+                yield rows(archive, member, None, [None], failed)
 
 
-def parse_rows(rows: DataFrame, base: str) -> tuple[DataFrame, DataFrame]:
-    """Good rows in canonical columns, and rejected rows with ``reason``.
-
-    The first record of a member is its header if one of its cells is a canonical name. A
-    header with another number of cells rejects its whole member (``header``), other records
-    of a wrong length are rejected one by one (``cells``), unreadable parts as ``unreadable``.
-    Blank records are skipped.
-    """
+def mark_rows(rows: DataFrame, base: str) -> DataFrame:
+    """``rows`` with ``is_data`` (neither header nor blank) and the ``reason`` for which a record is rejected; see :func:`parse_rows`."""
     expected = HEADERS[base]
     known = F.array(*[F.lit(c.lower()) for c in expected])
     names = F.transform("cells", lambda c: F.lower(F.trim(c)))
@@ -316,12 +323,25 @@ def parse_rows(rows: DataFrame, base: str) -> tuple[DataFrame, DataFrame]:
     wrong = rows.filter(head & ~fits).select("archive", "member", F.lit(True).alias("_wrong"))  # one row per member at most
     blank = (F.size("cells") == 0) | F.coalesce((F.size("cells") == 1) & (F.trim(F.get("cells", F.lit(0))) == ""), F.lit(False))
     read = F.col("error").isNotNull() | F.col("cells").isNotNull()
-    data = rows.filter(read & (F.col("error").isNotNull() | ~(F.coalesce(head & fits, F.lit(False)) | blank)))
+    data = read & (F.col("error").isNotNull() | ~(F.coalesce(head & fits, F.lit(False)) | blank))
     reason = (
         F.when(F.col("error").isNotNull(), "unreadable").when(F.col("_wrong"), "header").when(~fits, "cells")
     )
-    marked = data.join(wrong, ["archive", "member"], "left").withColumn("reason", reason)
-    good = marked.filter("reason is null").select("archive", "member", *[F.get("cells", F.lit(i)).alias(c) for i, c in enumerate(expected)])
+    # The records stay where they are: no shuffle of them for a flag per member.
+    joined = rows.join(F.broadcast(wrong), ["archive", "member"], "left")
+    return joined.select(*rows.columns, F.coalesce(data, F.lit(False)).alias("is_data"), reason.alias("reason"))
+
+
+def parse_rows(rows: DataFrame, base: str) -> tuple[DataFrame, DataFrame]:
+    """Good rows in canonical columns, and rejected rows with ``reason``.
+
+    The first record of a member is its header if one of its cells is a canonical name. A
+    header with another number of cells rejects its whole member (``header``), other records
+    of a wrong length are rejected one by one (``cells``), unreadable parts as ``unreadable``.
+    Blank records are skipped.
+    """
+    marked = mark_rows(rows, base).filter("is_data")
+    good = marked.filter("reason is null").select("archive", "member", *[F.get("cells", F.lit(i)).alias(c) for i, c in enumerate(HEADERS[base])])
     return good, marked.filter("reason is not null").select("archive", "member", "row_no", "cells", "error", "reason")
 
 

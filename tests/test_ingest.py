@@ -179,3 +179,16 @@ def test_stream_dedup_and_late_rows(spark, tmp_path):
     items = lambda d: sorted(r["item_code"] for r in spark.read.parquet(str(tmp_path / d)).collect())
     assert items("ok") == ["same", "x", "z"]  # newest two months, and a month never completed
     assert items("late") == ["y"]
+
+
+def test_each_member_is_a_task(spark, tmp_path):
+    for k in range(6):
+        with zipfile.ZipFile(tmp_path / f"cas_info_250{k + 1}.zip", "w") as z:
+            z.writestr("a.csv", "\n".join(f"a{k};{n}" for n in range(20_001)))
+            z.writestr("b.csv", b"b;1\nb;\xff\n")
+    rows = L.extract_archives(spark, f"file://{tmp_path}").withColumn("task", F.spark_partition_id())
+    got = rows.groupBy("archive", "member").agg(F.min("task").alias("task"), F.count_if(F.expr("error is null")).alias("n"), F.max("row_no").alias("last"), F.count("error").alias("errors")).collect()
+    assert len({r["task"] for r in got}) > 6  # no more than shuffle partitions before, here 4
+    assert {(r["n"], r["last"], r["errors"]) for r in got if r["member"] == "a.csv"} == {(20_001, 20_001, 0)}
+    assert {r["errors"] for r in got if r["member"] == "b.csv"} == {1}
+    assert rows.filter("row_no = 20001").select("archive", "cells").orderBy("archive").first()["cells"] == ["a0", "20000"]
