@@ -197,3 +197,28 @@ def test_spearman_ranks_each_known_cell_once(spark, monkeypatch):
     monkeypatch.setattr(E, "average_ranks", spy)
     E.correlation_matrix(df, list("abcd"), "spearman").collect()
     assert seen == [sum(v is not None for r in rows for v in r)]
+
+
+def test_bins_of_wide_rows(spark):
+    inf, nan = float("inf"), float("nan")
+    cells = [(1, 0.0), (1, -0.0), (1, 0.5), (1, 1.0), (1, 2.0), (2, 2.5), (2, -1.0), (2, None), (2, nan), (2, inf), (2, 1.5)]
+    df = spark.createDataFrame([(m, x, "7" if m == 1 else "no number") for m, x in cells], "m int, x double, t string").repartition(3)
+    edges = spark.createDataFrame([("x", [0.0, 1.0, 2.0]), ("t", [6.0, 8.0]), ("gone", [0.0, 1.0])], "feature string, edges array<double>")
+
+    def counts(**how):
+        return {tuple(r[:-1]): r[-1] for r in D.bin_counts(df, edges, **how).collect()}
+
+    assert counts() == {("x", 0): 3, ("x", 1): 3, ("t", 0): 5}
+    assert counts(clamp=True) == {("x", 0): 4, ("x", 1): 4, ("t", 0): 5}
+    assert counts(keys=["m"]) == {(1, "x", 0): 3, (1, "x", 1): 2, (1, "t", 0): 5, (2, "x", 1): 1}
+    assert D.bin_counts(df.limit(0), edges, ["m"]).count() == 0
+
+
+def test_monthly_drift_stores_no_rows(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    df = spark.createDataFrame(pd.DataFrame({"m": np.repeat(["2501", "2502", "2503"], 400), "x": rng.normal(size=1200).round(2), "y": rng.normal(size=1200).round(2)}))
+    stored, cut = [], D.cut
+    monkeypatch.setattr(D, "cut", lambda frame: stored.append(cut(frame)) or stored[-1])
+    got = D.monthly_drift(df, ["x", "y"], "m").collect()
+    assert len(got) == 4 and all(r["psi"] is not None for r in got)
+    assert stored and max(f.count() for f in stored) <= 20  # bins of the profile
