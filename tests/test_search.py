@@ -4,7 +4,9 @@ import datetime as dt
 
 from catalog import q_models
 from catalog.inputs import Inputs
+from parcelwise.operators import features as X
 from parcelwise.operators import walkforward as WF
+from parcelwise.schemas import MODEL_FEATURES
 
 
 def tables(spark, folder, months):
@@ -46,3 +48,30 @@ def test_search_covers_every_size_the_months_allow(spark, tmp_path, monkeypatch)
     # The sizes of the feature table are the same rows either way.
     same = q_models.search_rows(i).filter("_W = 5")
     assert same.count() > 0 and same.exceptAll(given[0].filter("_W = 5")).count() == 0 == given[0].filter("_W = 5").exceptAll(same).count()
+
+
+def test_partitions_of_customers_grow_with_the_files(spark, tmp_path, monkeypatch):
+    tables(spark, tmp_path, 6)
+    i = Inputs(spark, str(tmp_path), keep=False)
+    usual = X.COPIES * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert X.customer_parts(i.monthly) == usual
+    few = i.sized.exceptAll(i.sized.limit(0)).collect()
+    monkeypatch.setattr(X, "PART_BYTES", 200)
+    parts = X.customer_parts(i.monthly)
+    assert usual < parts < X.MOST_PARTS and X.customer_parts(spark.range(9)) == usual
+    monkeypatch.setattr(X, "MOST_PARTS", usual + 3)
+    assert X.customer_parts(i.monthly) == usual + 3
+    again = Inputs(spark, str(tmp_path), keep=False).sized
+    plan = again._jdf.queryExecution().executedPlan().toString()
+    # Both sides of the feature join come in the same number of partitions and are not shuffled again.
+    assert plan.count(f", {usual + 3}), REPARTITION_BY_NUM") == 2
+    assert sorted(map(str, again.collect())) == sorted(map(str, few))
+
+
+def test_windows_of_one_size_equal_those_of_the_feature_table(spark, tmp_path):
+    tables(spark, tmp_path, 8)
+    i = Inputs(spark, str(tmp_path), keep=False)
+    names = ["cms_code_enc", "window_end", *[f for f in MODEL_FEATURES if f in i.sized.columns], "item_2m_ago", "item_max_month"]
+    assert "item_3m_ago" not in i.sized.columns  # no months that the size does not have
+    want = i.features.filter("window_size = 3").select(names).collect()
+    assert want and sorted(map(str, i.sized.select(names).collect())) == sorted(map(str, want))
